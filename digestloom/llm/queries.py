@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from digestloom.llm import dedup, mixing, sharding, urlfilter
+from digestloom.llm import dedup, mixing, packing, quality, sharding, urlfilter
 from digestloom.llm.common import n_words, staged
 
 
@@ -18,6 +18,10 @@ def op1_mix_sources(spark, sf_dir):
     return out.select("doc_id", F.col("_size").alias("size"), "source_size", "target", (F.col("_size") * F.col("_copies")).alias("taken"), F.col("_copies").alias("copies"))
 
 
+def op2_quality_rules(spark, sf_dir):
+    return quality.quality_report(_docs(spark, sf_dir))
+
+
 def op4_exact_dedup(spark, sf_dir):
     return dedup.exact_dedup(_docs(spark, sf_dir), keep="max")
 
@@ -30,5 +34,9 @@ def op9_shards(spark, sf_dir):
     return sharding.shard_documents(_docs(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op4_exact_dedup, op7_url_filter, op9_shards)}
+def op10_packing(spark, sf_dir):
+    return packing.pack_documents(_docs(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_quality_rules, op4_exact_dedup, op7_url_filter, op9_shards, op10_packing)}
 ORACLE: dict[str, str] = {}

@@ -12,7 +12,7 @@ with slots of their own; an empty table gives an empty result; other columns are
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from digestloom.llm.common import staged
@@ -25,20 +25,17 @@ def place_of(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(PLACES)).cast("int")
 
 
-def ring(spark: SparkSession, shards: int) -> DataFrame:
-    """One row: ``ring``, the shards' points in order of place as (place, shard)."""
-    points = spark.range(0, shards * VNODES, 1, 1).select(
-        F.pmod(F.xxhash64(F.lit("vnode"), "id"), F.lit(PLACES)).cast("int").alias("place"), (F.col("id") / VNODES).cast("int").alias("shard")
-    )
-    return points.agg(F.sort_array(F.collect_list(F.struct("place", "shard"))).alias("ring"))
+def ring(shards: int) -> Column:
+    """The shards' points in order of place, as an array of (place, shard)."""
+    point = f"struct(cast(pmod(xxhash64('vnode', i), {PLACES}) as int) as place, cast(i div {VNODES} as int) as shard)"
+    return F.expr(f"array_sort(transform(sequence(0, {shards * VNODES - 1}), i -> {point}))")
 
 
 def plan_shards(counts: DataFrame, shards: int) -> DataFrame:
     """place, first, last (ranks within the place, last excluded), shard, slot (of rank ``first``) for ``counts`` of
     (place, n). At most PLACES + 2 * shards rows."""
-    spark = counts.sparkSession
     places = counts.agg(F.sort_array(F.collect_list(F.struct("place", "n"))).alias("places"), F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
-    one = places.crossJoin(ring(spark, shards))  # one row each
+    one = places.withColumn("ring", ring(shards))  # one row
     # b: a place; p: a point clockwise of it. What is left of the place's rows moves on past shards without room.
     # Accumulators are copied at each step, so the inner one holds only the place's own pieces.
     take = "least(x.left, x.room[p.shard])"
