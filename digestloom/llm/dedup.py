@@ -43,8 +43,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with, of each group of equal texts, one row only: that of the smallest id. Texts travel once."""
-    names = docs.columns
     text = F.coalesce(F.col(text_col), F.lit(""))
-    packed = docs.select(content_hash(text).alias("_hash"), text.alias("_text"), F.col(id_col).alias("_id"), F.struct(*(F.col(c) for c in names if c != text_col)).alias("_row"))
-    first = packed.groupBy("_hash", "_text").agg(F.min_by("_row", F.struct("_id", F.xxhash64("_row"))).alias("_row"), F.max(F.col("_text") != "").alias("_any"))
-    return first.select(*(F.col("_text").alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in names))
+    row = F.struct(*(F.col(c) for c in docs.columns if c != text_col), F.col(text_col).isNull().alias("_null"))
+    packed = docs.select(content_hash(text).alias("_hash"), text.alias("_text"), F.col(id_col).alias("_id"), row.alias("_row"))
+    first = packed.groupBy("_hash", "_text").agg(F.min_by("_row", F.struct("_id", F.xxhash64("_row"))).alias("_row"))
+    kept_text = F.when(~F.col("_row._null"), F.col("_text"))
+    return first.select(*(kept_text.alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns))

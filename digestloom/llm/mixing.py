@@ -66,6 +66,6 @@ def mix_copies(docs: DataFrame, weights=WEIGHTS, budget: float = 1.0, most: floa
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` as mixed: each row as often as it is taken, with its own columns only."""
-    names = docs.columns
-    out = mix_copies(docs.withColumn("_size", n_words(F.col(text_col)).cast("long")), id_col=id_col, **how)
-    return out.filter("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*names)
+    rows = docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("_row"), F.col(id_col).alias("_id"), F.col("source").alias("_src"), n_words(F.col(text_col)).cast("long").alias("_size"))
+    out = mix_copies(rows, id_col="_id", source_col="_src", **how).filter("_copies > 0")
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("_row.*")

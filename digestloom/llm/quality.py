@@ -20,6 +20,9 @@ from digestloom.llm.common import BLANKS, WORD, staged
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 ROUNDS = 40
+#: Rules are written so that good text does not trip them: their accuracy on good texts is held at this or above.
+#: Left free, EM calls a kind of junk good that one rule alone sees, as all other rules vote good there.
+LEAST_ON_GOOD = 0.9999
 #: name -> (bad if, good if), else the rule abstains. Over the columns of signals().
 RULES = {
     "symbols": ("n_symbols > 0.08 * word_chars", "n_symbols <= 0.01 * word_chars"),
@@ -82,11 +85,11 @@ def estimate(patterns: DataFrame, n_rules: int, rounds: int = ROUNDS) -> list[fl
         return f"aggregate(e, 0D, (a, x) -> a + ({what}))"
 
     # Two imagined votes for each rate keep it off 0 and 1.
-    good = [f"({total(f'if(x.votes[{j}] = 1, x.n * x.p, 0D)')} + 1.9D) / ({total(f'if(x.votes[{j}] = 0, 0D, x.n * x.p)')} + 2D)" for j in rules]
+    good = [f"greatest({LEAST_ON_GOOD}D, ({total(f'if(x.votes[{j}] = 1, x.n * x.p, 0D)')} + 1.9D) / ({total(f'if(x.votes[{j}] = 0, 0D, x.n * x.p)')} + 2D))" for j in rules]
     bad = [f"({total(f'if(x.votes[{j}] = -1, x.n * (1 - x.p), 0D)')} + 1D) / ({total(f'if(x.votes[{j}] = 0, 0D, x.n * (1 - x.p))')} + 2D)" for j in rules]
     rates = f"array(({total('x.n * x.p')} + 1.9D) / ({total('x.n')} + 2D), {', '.join(good + bad)})"
     m_step = "transform(array({e}), e -> " + rates + ")[0]"
-    start = m_step.format(e="transform(patterns, x -> struct(x.votes as votes, x.n as n, if(array_contains(x.votes, -1), 0.1D, 0.95D) as p))")
+    start = m_step.format(e="transform(patterns, x -> struct(x.votes as votes, x.n as n, if(array_contains(x.votes, -1), 0.001D, 0.999D) as p))")
     step = m_step.format(e=f"transform(patterns, x -> struct(x.votes as votes, x.n as n, {posterior} as p))")
     row = patterns.agg(F.sort_array(F.collect_list(F.struct("votes", F.col("n").cast("double").alias("n")))).alias("patterns"))
     return list(row.select(F.expr(f"aggregate(sequence(1, {rounds}), {start}, (s, t) -> {step})").alias("s")).first().s)

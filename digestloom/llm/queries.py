@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from digestloom.llm import dedup, mixing, packing, quality, sharding, urlfilter
+from digestloom.llm import chat, dedup, html_extract, minhash, mixing, packing, quality, sharding, toxicity, urlfilter
 from digestloom.llm.common import n_words, staged
 
 
@@ -22,14 +22,33 @@ def op2_quality_rules(spark, sf_dir):
     return quality.quality_report(_docs(spark, sf_dir))
 
 
+def op3_html_text(spark, sf_dir):
+    return html_extract.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op4_exact_dedup(spark, sf_dir):
     return dedup.exact_dedup(_docs(spark, sf_dir), keep="max")
 
 
+def op5_minhash_dedup(spark, sf_dir):
+    return minhash.near_dedup(_docs(spark, sf_dir))
+
+
+def op6_chat_format(spark, sf_dir):
+    return chat.repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op7_url_filter(spark, sf_dir):
     return urlfilter.filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op8_toxicity(spark, sf_dir):
+    fold = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~fold)
+    out = toxicity.toxicity(_docs(spark, sf_dir), labels)
+    return out.select("doc_id", F.coalesce(fold, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op9_shards(spark, sf_dir):
     return sharding.shard_documents(_docs(spark, sf_dir))
 
@@ -38,5 +57,11 @@ def op10_packing(spark, sf_dir):
     return packing.pack_documents(_docs(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_quality_rules, op4_exact_dedup, op7_url_filter, op9_shards, op10_packing)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_mix_sources, op2_quality_rules, op3_html_text, op4_exact_dedup, op5_minhash_dedup,
+        op6_chat_format, op7_url_filter, op8_toxicity, op9_shards, op10_packing,
+    )
+}
 ORACLE: dict[str, str] = {}
