@@ -56,8 +56,7 @@ def signals(docs: DataFrame, text_col: str = "text") -> DataFrame:
     # Only texts in which some window recurs are sorted.
     d = d.withColumn("_sorted", F.expr("if(size(array_distinct(_hashes)) = size(_hashes), cast(array() as array<struct<h:bigint,i:int>>), array_sort(transform(_hashes, (h, i) -> struct(h as h, i as i))))"))
     d = d.withColumn("_starts", F.expr("array_sort(transform(filter(_sorted, (x, i) -> get(_sorted, i - 1).h <=> x.h or get(_sorted, i + 1).h <=> x.h), x -> x.i))"))
-    return d.select(
-        *names,
+    counts = F.struct(
         "n_words",
         F.expr(f"cast({without(BLANKS)} as bigint)").alias("word_chars"),
         F.expr(f"cast(_chars - {without(SYMBOLS)} as bigint)").alias("n_symbols"),
@@ -67,6 +66,8 @@ def signals(docs: DataFrame, text_col: str = "text") -> DataFrame:
         F.expr(f"cast(_chars - {without(upper)} as bigint)").alias("n_upper"),
         F.expr(f"cast(_chars - {without('!?')} as bigint)").alias("n_marks"),
     )
+    # Through explode no filter on the counts is pushed down, which would work them out again inside each condition.
+    return d.select(*names, F.explode(F.array(counts)).alias("_counts")).select(*names, "_counts.*")
 
 
 def votes(rules=RULES):
