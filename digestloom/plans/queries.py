@@ -328,7 +328,7 @@ ORACLE = {
  from (select case doc_id % 5 when 0 then 'clean_md5.bin' when 1 then 'clean_sha1_part' || lpad((doc_id % 90)::varchar, 2, '0') || '.bin' when 2 then 'clean_sha256_part' || lpad((doc_id % 90)::varchar, 2, '0') || '.txt' end as name, n_chars * doc_id * 3 as size from documents) where name is not null""",
     "throughput_projection": f"""select round(m * 0.8::double, 6) as reliable_mib_s, round({123 * 1024}.0::double / (m * 0.8::double) / 60, 6) as download_min, round({123 * 1024}.0::double / (m * 0.8::double) / 60 + 20, 6) as total_min, {123 * 1024}.0::double / (m * 0.8::double) / 60 + 20 <= 360 as will_fit
  from (select sum(event_id * 1000 + 1)::double / 1048576 / ((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6::double) as m from events)""",
-    "bucket_capacity": "select w::bigint as workers, b::bigint as budget_mb, greatest(2000, least(50000, (b * 1048576) // (w * 256 * 23)))::bigint as capacity from (select unnest(range(1, 65)) as w) cross join (select unnest([1, 64, 256, 2048, 16384]) as b)",
+    "bucket_capacity": "select w::bigint as workers, b::bigint as budget_mb, greatest(2000, least(50000, (b::bigint * 1048576) // (w * 256 * 23)))::bigint as capacity from (select unnest(range(1, 65)) as w) cross join (select unnest([1, 64, 256, 2048, 16384]) as b)",
     "known_documents": "select doc_id from documents where md5(text) in (select md5(text) from documents where doc_id % 2 = 0)",
     "unknown_documents": "select doc_id from documents where md5(text) not in (select md5(text) from documents where doc_id % 2 = 0)",
     "stream_parts": SET,
