@@ -33,9 +33,11 @@ ALPHABET = "\0abcdefghijklmnopqrstuvwxyzäöüßéèêçñíóáú"
 LETTERS = len(ALPHABET)
 # What a sign may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e"}
-MAX_TRAIN, MAX_FEATURES, MIN_POSITIVE = 20_000, 600, 5
+MAX_TRAIN, MAX_FEATURES = 20_000, 600
+#: A feature must occur in so many toxic training documents, and in this share of them.
+MIN_POSITIVE, LEAST_SHARE = 5, 0.02
 #: Lengths of the word beginnings that are features beside whole words.
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5, 6, 7, 8)
 #: Costs, in nats, of reading a sign as a letter, of undoing a repetition and of a word edge inside a spaced span.
 COST_SIGN, COST_REPEAT, COST_EDGE = 1.0, 0.5, 3.0
 WORDS = re.compile(r"[^\W\d_]+")
@@ -217,6 +219,15 @@ def training_words(docs: DataFrame, labels: DataFrame, model: LanguageModel, max
     return staged(met.mapInArrow(restore, "toxic int, words array<string>"), "training_words")
 
 
+def broadest(purity: dict[str, float]) -> list[str]:
+    """Features without those that a shorter beginning, about as pure, stands for: the weight stays on stems."""
+    kept: dict[str, float] = {}
+    for f in sorted(purity, key=lambda f: (len(f.rstrip("~")), not f.endswith("~"), f)):
+        if not any(g.endswith("~") and f.startswith(g[:-1]) and p >= 0.95 * purity[f] for g, p in kept.items()):
+            kept[f] = purity[f]
+    return list(kept)
+
+
 def fit(training: DataFrame, max_features: int = MAX_FEATURES) -> tuple[dict[str, float], float]:
     """(weights by feature, bias): the features most unevenly spread over the labels, then a logistic model with
     weights of zero or more by projected gradient descent."""
@@ -226,11 +237,12 @@ def fit(training: DataFrame, max_features: int = MAX_FEATURES) -> tuple[dict[str
     n, pos = totals.n, totals.pos
     if not n or not pos or pos == n:
         return {}, math.log((pos + 1e-9) / (n - pos + 1e-9)) if n else -1e9
-    spread = held.select("toxic", F.explode("features").alias("feature")).groupBy("feature").agg(F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("b")).filter(f"a >= {MIN_POSITIVE}")
+    spread = held.select("toxic", F.explode("features").alias("feature")).groupBy("feature").agg(F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("b")).filter(F.col("a") >= max(MIN_POSITIVE, LEAST_SHARE * pos))
     # Signed square root of chi-squared, by share of toxic documents.
     base = pos / n
     gain = (F.col("a") - F.col("b") * base) / F.sqrt(F.col("b") * base * (1 - base))
-    names = sorted(r.feature for r in spread.select("feature", gain.alias("gain")).filter("gain > 4").orderBy(F.desc("gain"), "feature").limit(max_features).collect())
+    top = spread.select("feature", (F.col("a") / F.col("b")).alias("purity"), gain.alias("gain")).filter("gain > 4").orderBy(F.desc("gain"), "feature").limit(max_features)
+    names = sorted(broadest({r.feature: r.purity for r in top.collect()}))
     if not names:
         return {}, math.log(pos / (n - pos))
     index = {f: k for k, f in enumerate(names)}
