@@ -5,7 +5,8 @@ bytes stay apart, so a collision never merges texts. The many rows of a hot grou
 (id, hash) rows with one row a group, which Spark can split.
 
 Defined results: a null text counts as empty, so nulls and empty texts are copies of one another; equal ids are kept
-apart as rows but share ``keep_id``; the input's other columns, whatever their names, are untouched.
+apart as rows but share ``keep_id``; a null id loses against any other, and ``keep_id`` is null only where all ids of a
+group are, so that its rows are kept; the input's other columns, whatever their names, are untouched.
 """
 
 from __future__ import annotations
@@ -42,10 +43,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with, of each group of equal texts, one row only: that of the smallest id. Texts travel once."""
+    """``docs`` with, of each group of equal texts, one row only: that of the smallest id (one without id
+    only if none has one). Texts travel once."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     row = F.struct(*(F.col(c) for c in docs.columns if c != text_col), F.col(text_col).isNull().alias("_null"))
     packed = docs.select(content_hash(text).alias("_hash"), text.alias("_text"), F.col(id_col).alias("_id"), row.alias("_row"))
-    first = packed.groupBy("_hash", "_text").agg(F.min_by("_row", F.struct("_id", F.xxhash64("_row"))).alias("_row"))
+    first = packed.groupBy("_hash", "_text").agg(F.min_by("_row", F.struct(F.col("_id").isNull().alias("n"), "_id", F.xxhash64("_row").alias("h"))).alias("_row"))
     kept_text = F.when(~F.col("_row._null"), F.col("_text"))
     return first.select(*(kept_text.alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns))

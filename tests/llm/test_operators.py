@@ -183,6 +183,25 @@ def test_near_dedup_odd(odd, empty):
     assert kept.columns == odd.columns and minhash.drop_near_copies(empty).count() == 0
 
 
+def test_null_ids_survive_dedup(spark):
+    rng = random.Random(8)
+    long = [f"word{rng.randrange(500)}" for _ in range(300)]
+    near, other = " ".join([*long, "end"]), " ".join([*long, "fin"])
+    alone = " ".join(f"lone{rng.randrange(500)}" for _ in range(50))
+    pair = [f"pair{rng.randrange(500)}" for _ in range(300)]
+    rows = [(None, near), (7, other), (None, alone), (None, alone), (None, " ".join([*pair, "a"])), (None, " ".join([*pair, "b"])), (None, "same text"), (3, "same text"), (9, "same text")]
+    rows += [(20, "one id, first text of two"), (20, "one id, but another text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    exact = dedup.drop_copies(docs)
+    assert sorted(map(repr, map(tuple, exact.collect()))) == sorted(map(repr, {*rows} - {(None, "same text"), (9, "same text")}))
+    want = [(3, "same text"), (7, other), *rows[-2:], (None, alone)]
+    for table in (docs, exact):
+        got = [tuple(r) for r in minhash.drop_near_copies(table).collect()]
+        assert len(got) == 6 and {*want} < {*got} and {*got} - {*want} <= {rows[4], rows[5]}
+    marked = minhash.near_dedup(docs).collect()
+    assert Counter((r.doc_id, r.class_id, r.kept) for r in marked) == {(None, 7, False): 1, (7, 7, True): 1, (None, None, True): 3, (None, None, False): 1, (None, 3, False): 1, (3, 3, True): 1, (9, 3, False): 1, (20, 20, True): 2}
+
+
 def plain_cost(codes):
     """Least cost over all sequences of states, by enumeration."""
     best = chat.INF
