@@ -41,8 +41,13 @@ BEGINNINGS = (4, 5, 6, 7, 8)
 #: Costs, in nats, of reading a sign as a letter, of undoing a repetition and of a word edge inside a spaced span.
 COST_SIGN, COST_REPEAT, COST_EDGE = 1.0, 0.5, 3.0
 WORDS = re.compile(r"[^\W\d_]+")
-SPACED = re.compile(r"(?<![^\W_])(?:[^\W_][ .\-_*]{1,2}){3,}[^\W_](?![^\W_])")
-SIGNS = re.compile(r"[\w@$!|+€]*[^\W\d_][\w@$!|+€]*")
+#: Signs that are no digits; they may stand for letters in spaced words too.
+MARKS = "".join(c for c in LEET if not c.isdigit())
+UNIT = rf"(?:[^\W_]|[{re.escape(MARKS)}])"
+SPACED = re.compile(rf"(?<![^\W_])(?:{UNIT}[ .\-_*]{{1,2}}){{3,}}{UNIT}(?![^\W_])")
+#: Runs of letters, digits and signs. One with a letter and a sign in it may be disguised.
+RUNS = re.compile(rf"[\w{re.escape(MARKS)}]+")
+LETTER, SIGN = re.compile(r"[^\W\d_]"), re.compile(rf"[{re.escape(''.join(LEET))}]")
 REPEATED = re.compile(r"([^\W\d_])\1\1+")
 
 
@@ -56,17 +61,27 @@ def letter_codes() -> np.ndarray:
     return table
 
 
+#: Kinds of characters to the gate, as the patterns above have them.
+IS_LETTER, IS_SIGN, IS_UNIT, IS_GAP, IN_RUN = 1, 2, 4, 8, 16
+
+
 def kinds() -> np.ndarray:
-    """Code point -> 1 letter, 2 digit, 4 sign, 8 separator inside spaced words; others, and from 256 on, 0."""
-    table = np.zeros(256, np.uint8)
-    for k in range(256):
-        c = chr(k)
-        table[k] = 1 if c.isalpha() else 2 if c.isdigit() and k < 128 else 4 if c in LEET else 8 if c in " .-_*" else 0
-    return table
+    """Code point -> its kinds, for code points under 256; place 256 stands for all others, which may be letters."""
+    patterns = {IS_LETTER: LETTER, IS_SIGN: SIGN, IS_UNIT: re.compile(UNIT), IS_GAP: re.compile(r"[ .\-_*]"), IN_RUN: RUNS}
+    table = [sum(kind for kind, p in patterns.items() if p.fullmatch(chr(k))) for k in range(256)]
+    return np.array([*table, IS_LETTER | IS_UNIT | IN_RUN], np.uint8)
+
+
+#: Signs from code point 256 on.
+WIDE = [ord(c) for c in LEET if ord(c) >= 256]
+
+
+def all_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
 def points(text: str) -> np.ndarray:
-    a = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    a = all_points(text)
     return np.where(a < 256, a, 0)
 
 
@@ -159,19 +174,22 @@ def lattice_of(span: str) -> list[list[tuple[str, float]]]:
 
 
 def disguised(text: str, table: np.ndarray) -> tuple[bool, bool, bool]:
-    """Whether a text has letters repeated three times, signs at letters, letters spaced out. Vectorised."""
-    a = points(text)
-    if len(a) < 4:
+    """Whether a text may have letters repeated three times, runs of letters and signs, letters spaced out. Vectorised.
+    Never False where the pattern matches."""
+    a = all_points(text)
+    if len(a) < 2:
         return False, False, False
-    k = table[a]
-    letter, sign = k == 1, (k & 6) > 0
+    k = table[np.minimum(a, 256)]
+    for c in WIDE:
+        k[a == c] = IS_SIGN | IS_UNIT | IN_RUN
+    letter, sign, unit, gap = ((k & kind) > 0 for kind in (IS_LETTER, IS_SIGN, IS_UNIT, IS_GAP))
     repeat = bool(np.any((a[2:] == a[1:-1]) & (a[1:-1] == a[:-2]) & letter[2:]))
-    signs = bool(np.any(sign[:-1] & letter[1:]) or np.any(letter[:-1] & sign[1:] & (a[1:] != 33)))
-    gap = k == 8
-    lone = np.zeros(len(a) + 2, bool)
-    lone[1:-1] = letter | sign
-    single = lone[1:-1] & ~lone[:-2] & ~lone[2:]
-    spaced = bool(np.any(single[:-2] & gap[1:-1] & single[2:]))
+    # A run with a sign and a letter has a sign next to something else of the run.
+    plain = ((k & IN_RUN) > 0) & ~sign
+    signs = bool(np.any(sign[:-1] & plain[1:]) or np.any(plain[:-1] & sign[1:]))
+    # At least four units are spaced out, so two in a row have separators on both sides, one or two between them.
+    lone = gap[:-2] & unit[1:-1] & gap[2:]
+    spaced = bool(np.any(lone[:-2] & lone[2:]) or np.any(lone[:-3] & lone[3:]))
     return repeat, signs, spaced
 
 
@@ -184,15 +202,17 @@ def restored_words(text: str, model: LanguageModel, table: np.ndarray, memo: dic
     if repeat:
         spans |= {w for w in words if REPEATED.search(w)}
     if signs:
-        spans |= {m for m in SIGNS.findall(low) if len(m) <= 40 and any(c in LEET for c in m)}
-    joined = [re.sub(r"[ .\-_*]+", "", m[0]) for m in SPACED.finditer(low)] if spaced else []
+        spans |= {m for m in RUNS.findall(low) if SIGN.search(m) and LETTER.search(m) and len(m) <= 40}
+    joined = {re.sub(r"[ .\-_*]+", "", m[0]) for m in SPACED.finditer(low)} if spaced else set()
+    # Signs at the ends of a spaced word may be letters or not.
+    joined |= {m.strip(MARKS) for m in joined}
     for span in spans:
         if span not in memo:
             if len(memo) > 200_000:
                 memo.clear()
             memo[span] = model.word(lattice_of(span))
         words.update(WORDS.findall(memo[span]))
-    for span in joined:
+    for span in sorted(joined):
         steps = lattice_of(span)
         # Each letter may also begin a new word.
         words.update(WORDS.findall(model.word([step if not k else step + [("\0" + s, c + COST_EDGE) for s, c in step if s != "\0"] for k, step in enumerate(steps)])))

@@ -260,6 +260,30 @@ def test_urls_index_loses_nothing(spark):
     assert [r.verdict for r in got] == ["block", "block", "block", "allow", "allow", "allow", "allow", "allow", "block", "block"]
 
 
+def letter_model(words):
+    counts, table, edge = np.zeros(toxicity.LETTERS**4), toxicity.letter_codes(), np.zeros(3, int)
+    for word in words * 20:
+        a = np.concatenate([edge, table[toxicity.points(word)], edge])
+        np.add.at(counts, ((a[:-3] * toxicity.LETTERS + a[1:-2]) * toxicity.LETTERS + a[2:-1]) * toxicity.LETTERS + a[3:], 1)
+    return toxicity.LanguageModel.of(counts)
+
+
+def test_toxicity_restores_all_spacing():
+    model, table = letter_model(["idiot", "you", "stupid", "moron", "trash", "leech"]), toxicity.kinds()
+    for text, word in {"i  d  i  o  t": "idiot", "i. d. i. o. t": "idiot", "i--d--i--o--t": "idiot", "i d ! o t": "idiot", "$ t u p i d": "stupid", "you i d i o t!": "idiot", "m o r o n !": "moron", "l€€ch": "leech", "l € e c h": "leech"}.items():
+        assert word in toxicity.restored_words(text, model, table, {}), text
+
+
+def test_toxicity_gate_covers_patterns():
+    rng, table = random.Random(6), toxicity.kinds()
+    for _ in range(20_000):
+        text = "".join(rng.choice("aabé²ж٣😀ʹ014_$@!|+€  ..-*,/\n") for _ in range(rng.randint(0, 14)))
+        repeat, signs, spaced = toxicity.disguised(text, table)
+        assert repeat or not toxicity.REPEATED.search(text), text
+        assert signs or not any(toxicity.SIGN.search(m) and toxicity.LETTER.search(m) for m in toxicity.RUNS.findall(text)), text
+        assert spaced or not toxicity.SPACED.search(text), text
+
+
 def test_toxicity_restores():
     counts = np.zeros(toxicity.LETTERS**4)
     table = toxicity.letter_codes()
