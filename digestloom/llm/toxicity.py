@@ -40,6 +40,8 @@ MIN_POSITIVE, LEAST_SHARE = 5, 0.02
 BEGINNINGS = (4, 5, 6, 7, 8)
 #: Costs, in nats, of reading a sign as a letter, of undoing a repetition and of a word edge inside a spaced span.
 COST_SIGN, COST_REPEAT, COST_EDGE = 1.0, 0.5, 3.0
+#: Spans up to this length are remembered when restored; longer ones are restored each time.
+MEMO_LENGTH = 40
 WORDS = re.compile(r"[^\W\d_]+")
 #: Signs that are no digits; they may stand for letters in spaced words too.
 MARKS = "".join(c for c in LEET if not c.isdigit())
@@ -136,9 +138,10 @@ class LanguageModel:
 
     def word(self, lattice: list[list[tuple[str, float]]]) -> str:
         """Viterbi: the likeliest path through ``lattice``, whose steps are (string, cost); a string may be empty."""
-        best: dict[tuple[int, int, int], tuple[float, str]] = {(0, 0, 0): (0.0, "")}
+        # A path is (path before, string): its length costs nothing until the end, so time is linear in the lattice.
+        best: dict[tuple[int, int, int], tuple[float, tuple | None]] = {(0, 0, 0): (0.0, None)}
         for options in [*lattice, [("\0", 0.0)]]:
-            to: dict[tuple[int, int, int], tuple[float, str]] = {}
+            to: dict[tuple[int, int, int], tuple[float, tuple | None]] = {}
             for state, (score, path) in best.items():
                 for string, cost in options:
                     s, value = state, score - cost
@@ -147,9 +150,13 @@ class LanguageModel:
                         value += float(self.logp[s[0], s[1], s[2], k])
                         s = (s[1], s[2], k)
                     if s not in to or value > to[s][0]:
-                        to[s] = (value, path + string)
+                        to[s] = (value, (path, string))
             best = to
-        return max(best.values())[1].strip("\0")
+        path, strings = max(best.values(), key=lambda x: x[0])[1], []
+        while path:
+            strings.append(path[1])
+            path = path[0]
+        return "".join(reversed(strings)).strip("\0")
 
 
 INDEX = {c: k for k, c in enumerate(ALPHABET)}
@@ -193,6 +200,16 @@ def disguised(text: str, table: np.ndarray) -> tuple[bool, bool, bool]:
     return repeat, signs, spaced
 
 
+def may_hide(run: str) -> bool:
+    return bool(SIGN.search(run) and LETTER.search(run))
+
+
+def parts_of(run: str) -> set[str]:
+    """The run, and its parts where one of its signs joins words, if they may be disguised."""
+    joins = [c for c in MARKS + "_" if c in run]
+    return {part for part in (run, *(x for c in joins for x in run.split(c)), *(re.split(r"[\W_]+", run) if len(joins) > 1 else ())) if may_hide(part)}
+
+
 def restored_words(text: str, model: LanguageModel, table: np.ndarray, memo: dict[str, str]) -> set[str]:
     """The words of the text in lower case, disguised ones restored (their plain parts stay words too)."""
     low = text.lower()
@@ -202,16 +219,19 @@ def restored_words(text: str, model: LanguageModel, table: np.ndarray, memo: dic
     if repeat:
         spans |= {w for w in words if REPEATED.search(w)}
     if signs:
-        spans |= {m for m in RUNS.findall(low) if SIGN.search(m) and LETTER.search(m) and len(m) <= 40}
+        spans |= {part for m in set(RUNS.findall(low)) if may_hide(m) for part in parts_of(m)}
     joined = {re.sub(r"[ .\-_*]+", "", m[0]) for m in SPACED.finditer(low)} if spaced else set()
     # Signs at the ends of a spaced word may be letters or not.
     joined |= {m.strip(MARKS) for m in joined}
     for span in spans:
-        if span not in memo:
-            if len(memo) > 200_000:
-                memo.clear()
-            memo[span] = model.word(lattice_of(span))
-        words.update(WORDS.findall(memo[span]))
+        restored = memo.get(span)
+        if restored is None:
+            restored = model.word(lattice_of(span))
+            if len(span) <= MEMO_LENGTH:
+                if len(memo) > 200_000:
+                    memo.clear()
+                memo[span] = restored
+        words.update(WORDS.findall(restored))
     for span in sorted(joined):
         steps = lattice_of(span)
         # Each letter may also begin a new word.

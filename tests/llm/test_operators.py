@@ -274,6 +274,19 @@ def test_toxicity_restores_all_spacing():
         assert word in toxicity.restored_words(text, model, table, {}), text
 
 
+def test_toxicity_restores_long_runs():
+    import time
+
+    model, table = letter_model(["you", "are", "a", "stopid", "idiot", "and", "all", "know", "it", "here", "moron"]), toxicity.kinds()
+    joined = "you|are|a|st0pid|1d10t|and|all|know|it|here"
+    for sign in "|+$_@!":
+        assert {"stopid", "idiot"} <= toxicity.restored_words(joined.replace("|", sign), model, table, {}), sign
+    assert "idiot" in toxicity.restored_words("_".join([*["know"] * 5, "$", "all"] * 20 + ["|1d10t+"]), model, table, {})
+    begun = time.process_time()
+    assert "moron" in toxicity.restored_words("k0ow1e" * 2_000 + "+m0ron", model, table, {})
+    assert time.process_time() - begun < 60
+
+
 def test_toxicity_gate_covers_patterns():
     rng, table = random.Random(6), toxicity.kinds()
     for _ in range(20_000):
