@@ -34,8 +34,8 @@ LETTERS = len(ALPHABET)
 # What a sign may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e"}
 MAX_TRAIN, MAX_FEATURES = 20_000, 600
-#: A feature must occur in so many toxic training documents, and in this share of them.
-MIN_POSITIVE, LEAST_SHARE = 5, 0.02
+#: A feature must occur in so many toxic training documents, however many there are, and be so significant.
+MIN_POSITIVE, LEAST_GAIN = 5, 4
 #: Lengths of the word beginnings that are features beside whole words.
 BEGINNINGS = (4, 5, 6, 7, 8)
 #: Costs, in nats, of reading a sign as a letter, of undoing a repetition and of a word edge inside a spaced span.
@@ -277,11 +277,11 @@ def fit(training: DataFrame, max_features: int = MAX_FEATURES) -> tuple[dict[str
     n, pos = totals.n, totals.pos
     if not n or not pos or pos == n:
         return {}, math.log((pos + 1e-9) / (n - pos + 1e-9)) if n else -1e9
-    spread = held.select("toxic", F.explode("features").alias("feature")).groupBy("feature").agg(F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("b")).filter(F.col("a") >= max(MIN_POSITIVE, LEAST_SHARE * pos))
+    spread = held.select("toxic", F.explode("features").alias("feature")).groupBy("feature").agg(F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("b")).filter(F.col("a") >= MIN_POSITIVE)
     # Signed square root of chi-squared, by share of toxic documents.
     base = pos / n
     gain = (F.col("a") - F.col("b") * base) / F.sqrt(F.col("b") * base * (1 - base))
-    top = spread.select("feature", (F.col("a") / F.col("b")).alias("purity"), gain.alias("gain")).filter("gain > 4").orderBy(F.desc("gain"), "feature").limit(max_features)
+    top = spread.select("feature", (F.col("a") / F.col("b")).alias("purity"), gain.alias("gain")).filter(F.col("gain") > LEAST_GAIN).orderBy(F.desc("gain"), "feature").limit(max_features)
     names = sorted(broadest({r.feature: r.purity for r in top.collect()}))
     if not names:
         return {}, math.log(pos / (n - pos))

@@ -308,6 +308,13 @@ def test_toxicity_restores():
     assert {"idiot", "trash", "moron", "added", "good"} <= words
 
 
+def test_toxicity_rare_stems_are_features(spark):
+    # 2,000 toxic labels, 39 of them (under 2%) with a stem that no clean document has.
+    rows = [(1, ["vile" if k < 39 else "nasty", "word"]) for k in range(2000)] + [(0, ["fine", "word"])] * 2000
+    weights, _ = toxicity.fit(spark.createDataFrame(rows, "toxic int, words array<string>"))
+    assert weights.get("vile", 0) > 0 and weights.get("nasty", 0) + weights.get("nast~", 0) > 0 and "word" not in weights
+
+
 def test_toxicity_held_out(spark):
     at = "/root/testdata/sf0.1"
     got = queries.op8_toxicity(spark, at).filter("held_out").join(spark.read.parquet(f"{at}/labels.parquet"), "doc_id").groupBy("toxic", "predicted").agg(F.count("*").alias("n")).collect()
