@@ -88,7 +88,7 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
                 marks = {f"<{name}>"}
                 if m[4]:
                     for a in ATTRIBUTE.finditer(m[4]):
-                        marks |= {f"{a[1].lower()[:5]}:{w}" for w in NAME.findall((a[2] or a[3] or a[4] or "").lower())[:6]} | {f"any:{w}" for w in NAME.findall((a[2] or a[3] or a[4] or "").lower())[:6]}
+                        marks |= {f"{kind}:{w}" for w in NAME.findall((a[2] or a[3] or a[4] or "").lower()) for kind in (a[1].lower()[:5], "any")}
                 stack.append((name, tuple(sorted(marks))))
     if at < len(page):
         tail = page[at:]

@@ -105,6 +105,12 @@ def test_pages_held_out():
     assert same >= 0.85 * n
 
 
+def test_pages_read_all_class_names():
+    page = '<div class="post-12 type-post status-publish format-standard category-news tag-daily comment"><p>Some words.</p></div>'
+    marks = html_extract.blocks(page)[0][1]
+    assert {"class:comment", "any:comment", "class:post", "any:daily"} <= {m for x in marks for m in (x if isinstance(x, (tuple, list, set, frozenset)) else [x])}
+
+
 def test_pages_of_table(spark, sf_dir):
     import html
 
