@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import time
+import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from http.client import HTTPException, IncompleteRead
 from typing import BinaryIO
 from urllib.request import Request, urlopen
 
@@ -20,39 +23,68 @@ class ArchiveError(ValueError):
     """An archive that can't be walked, or lacks the member."""
 
 
-def clean_name(name: str) -> str:
-    return name.replace("\\", "/").lstrip("./")
+def components(path: str) -> list[str]:
+    """The named steps of a path in lower case, however it is written."""
+    return [x for x in re.split(r"[\\/]+", path.lower()) if x not in ("", ".", "..")]
 
 
 def member_matches(name: str, want: str | None = MEMBER) -> bool:
-    """Whether a member's path or last part is ``want``, case ignored; ``*`` stands for anything but a slash. Without
-    ``want``: a full modern database."""
-    path = clean_name(name).lower()
-    base = path.rpartition("/")[2]
+    """Whether a member's path ends in the steps of ``want``, case ignored. ``*`` stands for anything but a slash; with
+    one, the last step decides alone. Without ``want``: a full modern database."""
+    path = components(name)
     if not want:
-        return base.endswith("_modern.db") and "minimal" not in base
-    pattern = clean_name(want).lower()
-    if "*" not in pattern:
-        return path == pattern or path.endswith("/" + pattern) or base == pattern
-    tests = [(pattern, path), (pattern, base), (pattern.rpartition("/")[2], base)]
-    return any(re.fullmatch("[^/]*".join(map(re.escape, p.split("*"))), text) for p, text in tests)
+        return bool(path) and path[-1].endswith("_modern.db") and "minimal" not in path[-1]
+    steps = components(want)
+    if "*" in want:
+        steps = steps[-1:]
+    end = path[len(path) - len(steps) :] if len(path) >= len(steps) else []
+    return bool(end) and all(re.fullmatch(".*".join(map(re.escape, step.split("*"))), x, re.S) for step, x in zip(steps, end))
+
+
+#: What a broken connection raises.
+BROKEN = (OSError, HTTPException)
+
+
+def request(url: str, method: str = "GET", timeout: float = 60, **headers: str):
+    return urlopen(Request(url, method=method, headers=headers), timeout=timeout)
+
+
+def object_size(url: str, timeout: float = 30) -> int:
+    """The size that a HEAD request announces; of a file, its own."""
+    with request(url, "HEAD", timeout) as got:
+        length = got.headers.get("Content-Length")
+    if length is None:
+        raise ArchiveError(f"{url}: no size is announced")
+    return int(length)
+
+
+def url_exists(url: str, timeout: float = 30) -> bool:
+    """Whether a HEAD request succeeds."""
+    try:
+        with request(url, "HEAD", timeout):
+            return True
+    except BROKEN:
+        return False
 
 
 class ResumingStream:
-    """Reads a url by ranges: after a break it asks again from where it stopped, waiting longer each time. ``open_at``
-    (offset -> stream) is the hook for other transports."""
+    """Reads a url by ranges: after a break, or an end before the announced size, it asks again from where it stopped,
+    waiting longer each time. ``open_at`` (offset -> stream) is the hook for other transports; ``size`` is the whole
+    object's size where the transport doesn't announce it."""
 
-    def __init__(self, url: str, open_at: Callable[[int], BinaryIO] | None = None, retries: int = RETRIES, wait: Callable[[float], None] = time.sleep) -> None:
-        self.url, self.at, self.retries, self.wait = url, 0, retries, wait
+    def __init__(self, url: str, open_at: Callable[[int], BinaryIO] | None = None, retries: int = RETRIES, wait: Callable[[float], None] = time.sleep, size: int | None = None) -> None:
+        self.url, self.at, self.retries, self.wait, self.size = url, 0, retries, wait, size
         self.open_at = open_at or self._open
         self.stream: BinaryIO | None = None
 
     def _open(self, offset: int) -> BinaryIO:
-        got = urlopen(Request(self.url, headers={"Range": f"bytes={offset}-"} if offset else {}), timeout=60)
+        got = request(self.url, **({"Range": f"bytes={offset}-"} if offset else {}))
         if offset and self.url.startswith("http") and getattr(got, "status", 206) != 206:
             raise OSError("the server does not resume")
         if offset and not self.url.startswith("http"):
             got.read(offset)
+        elif (length := got.headers.get("Content-Length")) is not None and not got.headers.get("Content-Encoding"):
+            self.size = offset + int(length)
         return got
 
     def read(self, n: int) -> bytes:
@@ -61,15 +93,33 @@ class ResumingStream:
                 if self.stream is None:
                     self.stream = self.open_at(self.at)
                 data = self.stream.read(n)
+                if not data and n and self.size is not None and self.at < self.size:
+                    raise OSError(f"{self.url}: ended after {self.at} of {self.size} bytes")
                 self.at += len(data)
                 return data
-            except OSError:
+            except BROKEN as broken:
+                if isinstance(broken, IncompleteRead) and broken.partial:
+                    self.stream = None
+                    self.at += len(broken.partial)
+                    return broken.partial
                 self.stream = None
                 if attempt > self.retries:
                     raise
                 self.wait(min(LONGEST_WAIT, FIRST_WAIT * 2 ** (attempt - 1)))
         return b""
 
+    def close(self) -> None:
+        if self.stream is not None:
+            self.stream.close()
+
+
+def measured(stream, seconds: float, block: int = 1 << 20, clock: Callable[[], float] = time.monotonic) -> tuple[int, float]:
+    """(bytes, seconds) of reading ``stream`` for about so long, or to its end."""
+    began, total = clock(), 0
+    while clock() - began < seconds and (data := stream.read(block)):
+        total += len(data)
+    return total, clock() - began
+
 
 def exactly(stream, n: int) -> bytes:
     out = b""
@@ -141,9 +191,15 @@ def member_bytes(stream, want: str | None = MEMBER) -> Iterator[bytes]:
 
 
 def stage_member(url: str, target: str, want: str | None = MEMBER, **stream) -> str:
-    """The member written to ``target``; a deflate stream has no restart points, so one task does this once and all
-    scans of the staged file are parallel."""
-    with open(target, "wb") as out:
-        for block in member_bytes(ResumingStream(url, **stream), want):
-            out.write(block)
+    """The member written to ``target``, whole or not at all; a deflate stream has no restart points, so one process
+    does this once and all scans of the staged file are parallel. ``target`` must be where all executors see it."""
+    temporary = f"{target}.{uuid.uuid4().hex}.tmp"
+    try:
+        with open(temporary, "wb") as out:
+            for block in member_bytes(ResumingStream(url, **stream), want):
+                out.write(block)
+        os.replace(temporary, target)
+    finally:
+        if os.path.exists(temporary):
+            os.remove(temporary)
     return target
