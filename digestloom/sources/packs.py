@@ -16,11 +16,14 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from digestloom.model import ALGOS, HEADER_BYTES, WIDTH, PackFormatError, pack_header, parse_header
+from digestloom.sources.archive import request
 
 HEADER_SCHEMA = "magic long, version int, algo int, updated_unix long, count long"
 
@@ -79,21 +82,33 @@ class Segment(WriterCommitMessage):
     count: int
 
 
-class PackWriter(DataSourceWriter):
+def in_order(digests: np.ndarray) -> bool:
+    """Whether the rows of bytes rise strictly: at the first byte where two neighbours differ, the later is greater."""
+    a, b = digests[:-1], digests[1:]
+    differ = a != b
+    at = differ.argmax(axis=1)[:, None]
+    return bool(differ.any(axis=1).all() and (np.take_along_axis(a, at, 1) < np.take_along_axis(b, at, 1)).all())
+
+
+class PackWriter(DataSourceArrowWriter):
     def __init__(self, options: dict) -> None:
         self.path, self.algo = options["path"], int(options["algo"])
         self.updated = int(options.get("updatedUnix") or time.time())
 
-    def write(self, rows: Iterator) -> Segment:
+    def write(self, batches: Iterator[pa.RecordBatch]) -> Segment:
         os.makedirs(os.path.dirname(self.path) or ".", exist_ok=True)
-        name, first, count, last = f"{self.path}.{uuid.uuid4().hex}.segment", b"", 0, None
+        name, first, count, last, width = f"{self.path}.{uuid.uuid4().hex}.segment", b"", 0, b"", WIDTH[self.algo]
         with open(name, "wb") as f:
-            for row in rows:
-                digest = bytes(row.digest)
-                if len(digest) != WIDTH[self.algo] or last is not None and digest <= last:
+            for batch in batches:
+                n, column = batch.num_rows, batch.column(batch.schema.names.index("digest"))
+                if not n:
+                    continue
+                whole = not column.null_count and pc.all(pc.equal(pc.binary_length(column), width)).as_py()
+                data = b"".join(column.to_pylist()) if whole else b""
+                if not whole or not in_order(np.frombuffer(last + data, np.uint8).reshape(-1, width)):
                     raise PackFormatError("digests of another width, or not in strict byte order")
-                first, last, count = first or digest, digest, count + 1
-                f.write(digest)
+                first, last, count = first or data[:width], data[-width:], count + n
+                f.write(data)
         return Segment(name, first, count)
 
     def commit(self, messages: list) -> None:
@@ -143,6 +158,23 @@ def write_pack(digests: DataFrame, path: str, algo: int, updated_unix: int | Non
     return path
 
 
-def write_packs(digests: DataFrame, folder: str, updated_unix: int | None = None) -> dict[int, str]:
-    """clean_<algo>.bin for each algorithm; one without digests gets its header alone."""
-    return {algo: write_pack(digests, f"{folder}/clean_{name}.bin", algo, updated_unix) for algo, (name, _, _) in ALGOS.items()}
+def write_packs(digests: DataFrame, folder: str, updated_unix: int | None = None, name: str = "clean_{}.bin") -> dict[int, str]:
+    """A pack for each algorithm, its algorithm's name put into ``name``; one without digests gets its header alone.
+    ``digests`` should be staged or cached: each algorithm reads them anew."""
+    return {algo: write_pack(digests, f"{folder}/{name.format(kind)}", algo, updated_unix) for algo, (kind, _, _) in ALGOS.items()}
+
+
+def header_count(path: str, size: int | None = None) -> int:
+    """The digests that the header of a file or http(s) url promises; only the header is read, so it may be of a part."""
+    if path.startswith("http"):
+        with request(path, Range=f"bytes=0-{HEADER_BYTES - 1}") as got:
+            raw = got.read(HEADER_BYTES)
+    else:
+        with open(path, "rb") as f:
+            raw = f.read(HEADER_BYTES)
+    return parse_header(raw, size, path)[4]
+
+
+def pack_count(path: str) -> int:
+    """The digests of a whole pack, checked against its size."""
+    return header_count(path, os.path.getsize(path))
