@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import html
+import json
+import re
 from collections.abc import Callable, Iterable
+from urllib.parse import urljoin
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from digestloom.functions.digests import asset_parts, human_size, modern_version, version_key
@@ -34,6 +38,28 @@ def latest_version(urls: DataFrame) -> DataFrame:
     return found.agg(F.max_by("version", F.struct(version_key(F.col("version")), "url")).alias("version"), F.max_by("url", F.struct(version_key(F.col("version")), "url")).alias("url"))
 
 
+def page_links(page: str, base: str) -> list[str]:
+    """The links of a page, made absolute, in page order."""
+    return [urljoin(base, html.unescape(a or b)) for a, b in re.findall(r"""href\s*=\s*(?:"([^"]*)"|'([^']*)')""", page, re.I)]
+
+
+def discover_latest(spark: SparkSession, read_page: Callable[[], tuple[str, str]], candidates: Iterable[str], exists: Callable[[str], bool]) -> str | None:
+    """The url of the newest full modern archive: the greatest version among the links of a page (``read_page`` gives
+    its text and address), or, if the page fails or has none, the first of ``candidates`` that exists."""
+    try:
+        links = page_links(*read_page())
+    except (OSError, ValueError):
+        links = []
+    found = latest_version(spark.createDataFrame([(x,) for x in links], "url string")).first() if links else None
+    return found.url if found and found.url else first_existing(candidates, exists)
+
+
+def listed_assets(text: str) -> list[tuple[str, int]]:
+    """(name, size) of a JSON list of files, or of an object that has one as ``assets``; sizes may be missing."""
+    found = json.loads(text)
+    return [(x["name"], int(x.get("size") or 0)) for x in (found.get("assets", []) if isinstance(found, dict) else found)]
+
+
 def asset_inventory(assets: DataFrame) -> DataFrame:
     """name, size, algo, ext, part, human of files with a published name."""
     algo, ext, part = asset_parts(F.col("name"))
@@ -57,3 +83,20 @@ def projection(sample: DataFrame, total_bytes: int, margin: float = MARGIN, over
     reliable = F.col("mib_s") * margin
     minutes = F.when(reliable > 0, F.lit(total_bytes / 1048576.0) / reliable / 60.0).otherwise(F.lit(float("inf")))
     return sample.select(reliable.alias("reliable_mib_s"), minutes.alias("download_min"), (minutes + overhead_min).alias("total_min"), (minutes + overhead_min <= budget_min).alias("will_fit"))
+
+
+def probe_values(report: Row, total_bytes: int, measured_mib_s: float, url: str) -> dict[str, str]:
+    """What a probe found, rounded for reading, as text by key."""
+    shown = lambda x, digits: "inf" if x == float("inf") else f"{round(x, digits)}"
+    return {
+        "will_fit": str(bool(report.will_fit)).lower(), "measured_mib_s": shown(measured_mib_s, 2), "reliable_mib_s": shown(report.reliable_mib_s, 2),
+        "download_min": shown(report.download_min, 1), "projected_total_minutes": shown(report.total_min, 1), "total_gib": shown(total_bytes / 2**30, 2), "zip_url": url,
+    }
+
+
+def key_values(values: dict[str, str]) -> str:
+    return "".join(f"{k}={v}\n" for k, v in values.items())
+
+
+def markdown_table(values: dict[str, str], title: str) -> str:
+    return "\n".join([f"## {title}", "", "| What | Value |", "|---|---|", *(f"| {k.replace('_', ' ')} | {v} |" for k, v in values.items()), "", ""])

@@ -34,7 +34,8 @@ def byte_order(digests: DataFrame) -> DataFrame:
 
 
 def merge_parts(*parts: DataFrame) -> DataFrame:
-    """Exact union of parts that are unique each on its own; no part need be sorted."""
+    """Exact union of parts that are unique each on its own; no part need be sorted. A frame may hold many parts: one
+    scan and one shuffle take them all."""
     out = parts[0].select("algo", "digest")
     for part in parts[1:]:
         out = out.unionByName(part.select("algo", "digest"))
