@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: The longest first: an alternation takes the first that fits.
 HEX = "[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32}"
 # Labels that may stand before a digest.
 LABEL = "(?:md5:|sha1:|sha-1:|sha256:|sha-256:)?"
@@ -50,27 +53,35 @@ def whole_line_digest(line: Column) -> Column:
     return F.when(found != "", found)
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def free_text_digest(line: Column) -> Column:
     """The preferred digest in a line of any form, else null: comments, headings and unwanted packages have none; the
     longest kind wins, the first of its kind."""
-    text = strip(line)
-    low = F.lower(text)
-    heading = F.contains(low, F.lit("filename")) & (F.contains(low, F.lit("sha")) | F.contains(low, F.lit("md5")))
 
-    def any_of(names: tuple[str, ...]) -> Column:
+    def any_of(low: Column, names: tuple[str, ...]) -> Column:
         out = F.lit(False)
         for name in names:
             out = out | F.contains(low, F.lit(name))
         return out
 
-    unwanted = (F.contains(text, F.lit(",")) | F.contains(text, F.lit('"'))) & any_of(UNWANTED) & ~any_of(EXCUSES)
-    found = F.regexp_extract_all(low, F.lit(rf"(?<![{WORD}]){LABEL}({HEX})(?![{WORD}])"), F.lit(1))
+    def best(low: Column) -> Column:
+        found = F.regexp_extract_all(low, F.lit(rf"(?<![{WORD}]){LABEL}({HEX})(?![{WORD}])"), F.lit(1))
+        return bound(found, lambda x: F.coalesce(*(first(x, width) for width in (64, 40, 32))))
 
-    def first(width: int) -> Column:
+    def first(found: Column, width: int) -> Column:
         return F.get(F.filter(found, lambda x: F.length(x) == width), F.lit(0))
 
-    best = F.coalesce(first(64), first(40), first(32))
-    return F.when((text == "") | text.startswith("#") | text.startswith(";") | heading | unwanted, None).otherwise(best)
+    def judged(text: Column) -> Column:
+        low = F.lower(text)
+        heading = F.contains(low, F.lit("filename")) & (F.contains(low, F.lit("sha")) | F.contains(low, F.lit("md5")))
+        unwanted = (F.contains(text, F.lit(",")) | F.contains(text, F.lit('"'))) & any_of(low, UNWANTED) & ~any_of(low, EXCUSES)
+        return F.when((text == "") | text.startswith("#") | text.startswith(";") | heading | unwanted, None).otherwise(best(low))
+
+    return bound(strip(line), judged)
 
 
 def base_name(name: Column) -> Column:

@@ -5,12 +5,12 @@ from __future__ import annotations
 import gzip
 import os
 import sqlite3
-import tempfile
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from digestloom.folders import shared_folder
 from digestloom.functions import digests as fn
 from digestloom.model import ALGOS, HEADER_BYTES, WIDTH
 from digestloom.operators import catalog, split, unique
@@ -20,7 +20,9 @@ from digestloom.streaming import parts as streaming
 
 PARTS, FIRST, UPDATED = 7, 100, 1_700_000_000
 #: Split limits small enough that the test tables make several parts.
-LIMIT_BIN, LIMIT_TXT = 4096, 8192
+LIMIT_BIN, LIMIT_TXT, LIMIT_DOUBLING = 4096, 8192, 100
+#: Members of the test feed.
+MEMBERS = 5
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,8 +71,7 @@ def with_parts(spark, sf_dir):
 
 
 def merge_parts_unique(spark, sf_dir):
-    d = with_parts(spark, sf_dir)
-    return shown(unique.merge_parts(*(d.filter(F.col("part") == k) for k in range(PARTS))))
+    return shown(unique.merge_parts(with_parts(spark, sf_dir)))
 
 
 def part_counts(spark, sf_dir):
@@ -100,12 +101,17 @@ LINES = """(select doc_id, case doc_id % 8 when 0 then m when 1 then '"' || s ||
  from (select doc_id, md5(text) m, sha1(text) s, sha256(text) h from documents))"""
 
 
+def present(value: Column) -> Column:
+    """One row where there is a value, none where it is null; the value is worked out once."""
+    return F.explode(F.filter(F.array(value), lambda x: x.isNotNull()))
+
+
 def text_default_filter(spark, sf_dir):
-    return lines(spark, sf_dir).select("doc_id", fn.free_text_digest(F.col("line")).alias("hex")).filter("hex is not null")
+    return lines(spark, sf_dir).select("doc_id", present(fn.free_text_digest(F.col("line"))).alias("hex"))
 
 
 def text_digest_only(spark, sf_dir):
-    return lines(spark, sf_dir).select("doc_id", fn.whole_line_digest(F.col("line")).alias("hex")).filter("hex is not null")
+    return lines(spark, sf_dir).select("doc_id", present(fn.whole_line_digest(F.col("line"))).alias("hex"))
 
 
 def hex_validate(spark, sf_dir):
@@ -126,13 +132,9 @@ def row_shape_filter(spark, sf_dir):
     return shown(unique.exact_unique(unique.metadata_digests(metadata(spark, sf_dir))))
 
 
-def work_folder() -> str:
-    return tempfile.mkdtemp(prefix="digestloom-fixture-")
-
-
 def fixture_db(spark, sf_dir) -> str:
     """A database file with the documents' digests: an input for the scans, made with the standard library."""
-    path = f"{work_folder()}/source.db"
+    path = f"{shared_folder(spark)}/source.db"
     with sqlite3.connect(path) as db:
         db.execute("create table METADATA (id integer, path text, crc32 text not null, md5 text not null, sha1 text not null, sha256 text not null)")
         rows = documents(spark, sf_dir).toLocalIterator()
@@ -150,7 +152,7 @@ def sqlite_sql_scan(spark, sf_dir):
 
 
 def zip_member_scan(spark, sf_dir):
-    folder = work_folder()
+    folder = shared_folder(spark)
     with zipfile.ZipFile(f"{folder}/a.zip", "w", zipfile.ZIP_DEFLATED) as z:
         z.writestr("RDS_1_modern/readme.txt", "x" * 5000)
         z.write(fixture_db(spark, sf_dir), "RDS_1_modern/RDS_1_modern.db")
@@ -158,15 +160,25 @@ def zip_member_scan(spark, sf_dir):
 
 
 def gzip_text_feed(spark, sf_dir):
-    path = f"{work_folder()}/feed.txt.gz"
+    path = f"{shared_folder(spark)}/feed.txt.gz"
     with gzip.open(path, "wt", encoding="utf-8", newline="") as f:
         for r in lines(spark, sf_dir).toLocalIterator():
             f.write(r.line + "\r\n")
     return shown(unique.exact_unique(textfeed.feed_digests(textfeed.read_lines(spark, path))))
 
 
+def gzip_members_feed(spark, sf_dir):
+    """A feed of several gzip members, lines cut at their borders, read block by block."""
+    path, text = f"{shared_folder(spark)}/feed.gz", b"".join(r.line.encode() + b"\n" for r in lines(spark, sf_dir).toLocalIterator())
+    step = max(1, len(text) // MEMBERS)
+    with open(path, "wb") as f:
+        for k in range(0, len(text), step):
+            f.write(gzip.compress(text[k : k + step]))
+    return shown(unique.exact_unique(textfeed.feed_digests(textfeed.read_compressed_lines(spark, path))))
+
+
 def made_packs(spark, sf_dir) -> str:
-    folder = work_folder()
+    folder = shared_folder(spark)
     packs.write_packs(unique.exact_unique(offered(spark, sf_dir)), folder, UPDATED)
     return folder
 
@@ -197,6 +209,18 @@ def split_plan_txt(spark, sf_dir):
     return split.split_plan(unique.exact_unique(offered(spark, sf_dir)), LIMIT_TXT, "txt")
 
 
+def split_plan_doubling(spark, sf_dir):
+    """At this limit the size rule's parts are too large by the header, so their number is doubled."""
+    return split.split_plan(unique.exact_unique(offered(spark, sf_dir)), LIMIT_DOUBLING)
+
+
+def split_text_identity(spark, sf_dir):
+    folder = made_packs(spark, sf_dir)
+    feeds.export_text(spark, f"{folder}/clean_sha256.bin", f"{folder}/clean_sha256.txt")
+    (names,) = feeds.split_published([f"{folder}/clean_sha256.txt"], LIMIT_TXT).values()
+    return spark.read.text(names).select(F.input_file_name().alias("file"), F.col("value").alias("line")).select(F.regexp_extract("file", r"([^/]*)$", 1).alias("part_name"), "line")
+
+
 def split_concat_identity(spark, sf_dir):
     folder = made_packs(spark, sf_dir)
     names = feeds.split_pack(f"{folder}/clean_md5.bin", LIMIT_BIN)
@@ -254,11 +278,30 @@ def unknown_documents(spark, sf_dir):
     return unique.unknown(d, feed).select("doc_id")
 
 
+def offered_stream(spark, sf_dir, folder: str) -> DataFrame:
+    offered(spark, sf_dir).repartition(3).write.parquet(f"{folder}/in")
+    return spark.readStream.schema("algo int, digest binary").option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+
+
+def part_pack_merge(spark, sf_dir):
+    """A stream's part packs merged into whole packs, read again."""
+    folder = shared_folder(spark)
+    streaming.write_part_packs(offered_stream(spark, sf_dir, folder), f"{folder}/parts", f"{folder}/checkpoint", updated_unix=UPDATED).awaitTermination()
+    feeds.merge_part_packs(spark, f"{folder}/parts", folder, UPDATED)
+    return shown(packs.read_packs(spark, f"{folder}/clean_*.bin"))
+
+
+def carve_part_packs(spark, sf_dir):
+    """A database carved into part packs, merged and read again."""
+    folder, path = shared_folder(spark), fixture_db(spark, sf_dir)
+    feeds.carve_parts(spark, path, f"{folder}/parts", 1, updated_unix=UPDATED)
+    feeds.merge_part_packs(spark, f"{folder}/parts", folder, UPDATED)
+    return shown(packs.read_packs(spark, f"{folder}/clean_*.bin"))
+
+
 def stream_parts(spark, sf_dir):
-    folder = work_folder()
-    source = f"{folder}/in"
-    offered(spark, sf_dir).repartition(3).write.parquet(source)
-    stream = spark.readStream.schema("algo int, digest binary").option("maxFilesPerTrigger", 1).parquet(source)
+    folder = shared_folder(spark)
+    stream = offered_stream(spark, sf_dir, folder)
     streaming.write_parts(stream, f"{folder}/parts", f"{folder}/checkpoint").awaitTermination()
     return shown(streaming.merged_parts(spark, f"{folder}/parts"))
 
@@ -267,9 +310,9 @@ QUERIES = {f"unique_{n}_docs": of_algo(n) for n in ("md5", "sha1", "sha256")} |
     f.__name__: f
     for f in (
         unique_all_algos, counts_per_algo, dedup_counters, shard_histogram, merge_parts_unique, part_counts, first_n_distinct, text_default_filter,
-        text_digest_only, hex_validate, row_shape_filter, sqlite_page_scan, sqlite_sql_scan, zip_member_scan, gzip_text_feed, pack_roundtrip, pack_header,
-        export_text_lines, combined_text, split_plan_bin, split_plan_txt, split_concat_identity, candidate_versions, latest_version, asset_inventory,
-        throughput_projection, bucket_capacity, known_documents, unknown_documents, stream_parts,
+        text_digest_only, hex_validate, row_shape_filter, sqlite_page_scan, sqlite_sql_scan, zip_member_scan, gzip_text_feed, gzip_members_feed, pack_roundtrip, pack_header,
+        export_text_lines, combined_text, split_plan_bin, split_plan_txt, split_plan_doubling, split_concat_identity, split_text_identity, candidate_versions, latest_version, asset_inventory,
+        throughput_projection, bucket_capacity, known_documents, unknown_documents, stream_parts, part_pack_merge, carve_part_packs,
     )
 }
 
@@ -284,12 +327,15 @@ FREE = f"""select doc_id, coalesce(list_filter(hits, lambda x: length(x) = 64)[1
 
 
 def parts_sql(kind: str, limit: int) -> str:
-    """The size rule and plain row numbers; at these limits no part overruns, so no doubling happens."""
+    """The size rule, doubled until the largest part fits, and plain row numbers."""
     size = "(count * w)" if kind == "bin" else "(count * (2 * w + 1))"
     room = limit - HEADER_BYTES if kind == "bin" else limit
+    largest = "least(count, ceil(count / (p * 1.0::double))) * w + 24" if kind == "bin" else "least(count, ceil(count / (p * 1.0::double))) * (2 * w + 1)"
     payload = "records * w + case when part_no = 1 then 24 else 0 end" if kind == "bin" else "records * (2 * w + 1)"
     return f"""with s as ({SET}), c as (select algo, count(*) as count, any_value({WIDTHS}) as w from s group by algo),
- n as (select algo, w, count, greatest(1, cast(ceil({size} / {room}.0) as bigint)) as parts from c),
+ f as (select algo, w, count, greatest(1, cast(ceil({size} / {room}.0) as bigint)) as parts from c),
+ d as (select algo, w, count, unnest([parts, 2 * parts, 4 * parts, 8 * parts, 16 * parts, 32 * parts]) as p from f),
+ n as (select algo, w, count, min(p) as parts from d where {largest} <= {limit} group by all),
  r as (select s.algo, n.w, n.parts, row_number() over (partition by s.algo order by digest) - 1 as k, cast(ceil(n.count / n.parts::double) as bigint) as each from s join n using (algo)),
  p as (select algo, w, parts, cast(k // each + 1 as int) as part_no, count(*) as records from r group by all)
  select algo, part_no, 'clean_' || case algo when 1 then 'md5' when 2 then 'sha1' else 'sha256' end || case when parts = 1 then '' else '_part' || lpad(part_no::varchar, greatest(2, length(parts::varchar))::int, '0') end || '.{kind}' as part_name,
@@ -313,12 +359,16 @@ ORACLE = {
     "sqlite_sql_scan": SET,
     "zip_member_scan": SET,
     "gzip_text_feed": f"select distinct case length(hex) when 32 then 1 when 40 then 2 else 3 end::int as algo, hex as digest from ({FREE}) where hex is not null",
+    "gzip_members_feed": f"select distinct case length(hex) when 32 then 1 when 40 then 2 else 3 end::int as algo, hex as digest from ({FREE}) where hex is not null",
     "pack_roundtrip": SET,
     "pack_header": f"select {0x31545643}::bigint as magic, 1::int as version, algo, {UPDATED}::bigint as updated_unix, count(*) as count from ({SET}) group by algo",
     "export_text_lines": "select distinct sha1(text) as line from documents",
     "combined_text": f"select digest as line from ({SET})",
     "split_plan_bin": parts_sql("bin", LIMIT_BIN),
     "split_plan_txt": parts_sql("txt", LIMIT_TXT),
+    "split_plan_doubling": parts_sql("bin", LIMIT_DOUBLING),
+    "split_text_identity": f"""with s as (select digest, row_number() over (order by digest) - 1 as k from ({SET}) where algo = 3), n as (select count(*) as n, ceil(count(*) * 65 / {LIMIT_TXT}.0)::bigint as parts from s)
+ select 'clean_sha256' || case when parts = 1 then '' else '_part' || lpad((k // ceil(n / parts::double)::bigint + 1)::varchar, greatest(2, length(parts::varchar))::int, '0') end || '.txt' as part_name, digest as line from s, n""",
     "split_concat_identity": f"select * from ({SET}) where algo = 1",
     "candidate_versions": "select printf('%d.%02d.%d', y, m, r) as version from (select unnest(range(2020, 2026)) as y) cross join (select unnest([3, 6, 9, 12]) as m) cross join (select unnest(range(1, 10)) as r) where y != 2025 or m <= 7",
     "latest_version": """select arg_max(v, k) as version, arg_max(url, k) as url from (select url, v, row(string_split(v, '.')[1]::int, string_split(v, '.')[2]::int, string_split(v, '.')[3]::int, url) as k
@@ -332,4 +382,6 @@ ORACLE = {
     "known_documents": "select doc_id from documents where md5(text) in (select md5(text) from documents where doc_id % 2 = 0)",
     "unknown_documents": "select doc_id from documents where md5(text) not in (select md5(text) from documents where doc_id % 2 = 0)",
     "stream_parts": SET,
+    "part_pack_merge": SET,
+    "carve_part_packs": SET,
 }

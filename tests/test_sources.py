@@ -2,6 +2,7 @@
 
 import io
 import sqlite3
+import zlib
 
 import pytest
 from digestloom.functions import digests as fn
@@ -84,4 +85,4 @@ def test_names():
     with pytest.raises(PackFormatError):
         parts_needed(100, 32, 10)
     assert first_existing(["c", "b", "a"], {"a", "b"}.__contains__) == "b"
-    assert textfeed.guess_encoding("http://h/a.GZ?x=1") == "gzip" and textfeed.inflated(__import__("zlib").compress(b"hi")) == b"hi"
+    assert textfeed.guess_encoding("http://h/a.GZ?x=1") == "gzip" and b"".join(textfeed.inflated(io.BytesIO(zlib.compress(b"hi")))) == b"hi"
