@@ -17,7 +17,9 @@ import html
 import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,10 +45,50 @@ SPACE, DIGIT = re.compile(r"\s+"), re.compile(r"\d")
 NAME = re.compile(r"[a-z]+")
 
 
-def blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
-    """(text, ancestors' marks, characters in links) of each leaf block in page order, references decoded."""
-    out: list[tuple[str, tuple[str, ...], int]] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+class Block(NamedTuple):
+    """A leaf block: its text, its ancestors' marks (None where only their score is wanted) and the last of them, the
+    characters in links, and the sum of the ancestors' weights."""
+
+    text: str
+    marks: tuple[str, ...] | None
+    last: str
+    linked: int
+    score: float
+
+
+class Ancestors:
+    """The open elements. Their marks are kept once each, in order of opening, so that opening and closing an element
+    costs its own marks only, however deep it stands."""
+
+    def __init__(self, weights: dict[str, float] | None) -> None:
+        self.weights, self.score = weights, 0.0
+        self.open: list[tuple[str, int, float]] = []
+        self.names: Counter[str] = Counter()
+        self.marks: list[str] = []
+        self.known: set[str] = set()
+
+    def push(self, name: str, marks: list[str]) -> None:
+        self.open.append((name, len(self.marks), self.score))
+        self.names[name] += 1
+        for m in marks:
+            if m not in self.known:
+                self.known.add(m)
+                self.marks.append(m)
+                if self.weights is not None:
+                    self.score += self.weights.get(m, 0.0)
+
+    def pop(self) -> str:
+        name, at, self.score = self.open.pop()
+        self.names[name] -= 1
+        self.known.difference_update(self.marks[at:])
+        del self.marks[at:]
+        return name
+
+
+def blocks(page: str, weights: dict[str, float] | None = None) -> list[Block]:
+    """The leaf blocks in page order, references decoded; with ``weights``, ancestors are scored instead of listed."""
+    out: list[Block] = []
+    above = Ancestors(weights)
     text: list[str] = []
     linked, in_link, at = 0, 0, 0
 
@@ -56,7 +98,7 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
             return
         whole = " ".join(html.unescape("".join(text)).split())
         if whole:
-            out.append((whole, tuple(dict.fromkeys(m for _, marks in stack for m in marks)), min(linked, len(whole))))
+            out.append(Block(whole, tuple(above.marks) if weights is None else None, above.marks[-1] if above.marks else "", min(linked, len(whole)), above.score))
         text.clear()
         linked = 0
 
@@ -77,19 +119,19 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
         flush()
         in_link = 0
         if m[2]:
-            if any(tag == name for tag, _ in stack):
-                while stack.pop()[0] != name:
+            if above.names[name]:
+                while above.pop() != name:
                     pass
         else:
             closed = CLOSES.get(name) or ({"p"} if name in ENDS_P else ())
-            while stack and stack[-1][0] in closed:
-                stack.pop()
+            while above.open and above.open[-1][0] in closed:
+                above.pop()
             if name not in VOID and not m[4].rstrip().endswith("/"):
                 marks = {f"<{name}>"}
                 if m[4]:
                     for a in ATTRIBUTE.finditer(m[4]):
                         marks |= {f"{kind}:{w}" for w in NAME.findall((a[2] or a[3] or a[4] or "").lower()) for kind in (a[1].lower()[:5], "any")}
-                stack.append((name, tuple(sorted(marks))))
+                above.push(name, sorted(marks))
     if at < len(page):
         tail = page[at:]
         # A tag that the page's end cuts off is no text.
@@ -101,21 +143,25 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], int]]:
 HINTS = re.compile(r"©|\b(?:cookies?|subscribe|newsletter|advert\w*|sponsored|comments?|reply|copyright|rights reserved|sign in|log in|share|related|menu|privacy)\b", re.I)
 
 
-def features(block: tuple[str, tuple[str, ...], int], k: int, n: int) -> list[str]:
-    text, marks, linked = block
-    size = len(text)
-    out = ["bias", *marks, f"parent {marks[-1] if marks else ''}", f"size {min(9, size.bit_length())}", f"links {linked * 4 // max(size, 1)}", f"place {10 * k // n}"]
+def own_features(block: Block, k: int, n: int) -> list[str]:
+    """What block number ``k`` of ``n`` shows besides its ancestors' marks; shares are of the whole text."""
+    text, size = block.text, len(block.text)
+    out = ["bias", f"parent {block.last}", f"size {min(9, size.bit_length())}", f"links {block.linked * 4 // max(size, 1)}", f"place {10 * k // n}"]
     if text[-1] in ".!?…\"'»”":
         out.append("sentence end")
     if text.count(". ") >= 2:
         out.append("sentences")
-    if size <= 300 and HINTS.search(text):
+    if 40 * sum(map(len, HINTS.findall(text))) >= size:
         out.append("hint")
-    if len(DIGIT.findall(text, 0, 80)) * 4 > min(size, 80):
+    if 4 * len(DIGIT.findall(text)) > size:
         out.append("digits")
     return out
 
 
+def features(block: Block, k: int, n: int) -> list[str]:
+    return [*block.marks, *own_features(block, k, n)]
+
+
 class Chain:
     """A two-state linear-chain CRF: weights by feature and state, and transitions."""
 
@@ -127,12 +173,12 @@ class Chain:
         get = self.w.get
         return [sum(get(f, 0.0) for f in block) for block in page]
 
-    def decode(self, page: list[list[str]]) -> list[int]:
-        """Viterbi: 1 for main text. A block's score counts for state 1 and against nothing, state 0 scores 0."""
-        if not page:
+    def decode(self, scores: list[float]) -> list[int]:
+        """Viterbi: 1 for main text. A block's score counts for state 1, state 0 scores 0."""
+        if not scores:
             return []
         t, best, back = self.t, (0.0, 0.0), []
-        for k, s in enumerate(self.scores(page)):
+        for k, s in enumerate(scores):
             if not k:
                 best = (0.0, s)
                 continue
@@ -151,6 +197,21 @@ class Chain:
             path.append(y)
         return path[::-1]
 
+    def marginals(self, s: list[float]) -> tuple[list[float], list[list[list[float]]]]:
+        """(each block's probability of state 1, each pair of neighbours' probabilities by their states), by
+        forward-backward in logs."""
+        n, t = len(s), self.t
+        f = [(0.0, s[0])]
+        for k in range(1, n):
+            f.append(tuple(_add(f[-1][0] + t[0][y], f[-1][1] + t[1][y]) + s[k] * y for y in (0, 1)))
+        b = [(0.0, 0.0)]
+        for k in range(n - 1, 0, -1):
+            b.append(tuple(_add(t[y][0] + b[-1][0], t[y][1] + s[k] + b[-1][1]) for y in (0, 1)))
+        b.reverse()
+        z = _add(*f[-1])
+        pairs = [[[math.exp(f[k - 1][x] + t[x][y] + s[k] * y + b[k][y] - z) for y in (0, 1)] for x in (0, 1)] for k in range(1, n)]
+        return [math.exp(f[k][1] + b[k][1] - z) for k in range(n)], pairs
+
     def fit(self, pages: list[tuple[list[list[str]], list[int]]], epochs: int = EPOCHS, rate: float = 0.3, decay: float = 1e-4, seed: int = SEED) -> Chain:
         """AdaGrad on the log-likelihood; marginals by forward-backward in logs."""
         rng = random.Random(seed)
@@ -160,19 +221,12 @@ class Chain:
         for _ in range(epochs):
             rng.shuffle(pages)
             for xs, ys in pages:
-                n, s, t = len(xs), self.scores(xs), self.t
-                f = [(0.0, s[0])]
-                for k in range(1, n):
-                    f.append(tuple(_add(f[-1][0] + t[0][y], f[-1][1] + t[1][y]) + s[k] * y for y in (0, 1)))
-                b = [(0.0, 0.0)]
-                for k in range(n - 1, 0, -1):
-                    b.append(tuple(_add(t[y][0] + b[-1][0], t[y][1] + s[k] + b[-1][1]) for y in (0, 1)))
-                b.reverse()
-                z = _add(*f[-1])
-                for k in range(n):
-                    g = ys[k] - math.exp(f[k][1] + b[k][1] - z)
+                t = self.t
+                single, pairs = self.marginals(self.scores(xs))
+                for k, block in enumerate(xs):
+                    g = ys[k] - single[k]
                     if abs(g) > 1e-4:
-                        for name in xs[k]:
+                        for name in block:
                             w = self.w.get(name, 0.0)
                             step = g - decay * w
                             seen[name] = seen.get(name, 1e-6) + step * step
@@ -180,8 +234,7 @@ class Chain:
                     if k:
                         for x in (0, 1):
                             for y in (0, 1):
-                                p = math.exp(f[k - 1][x] + t[x][y] + s[k] * y + b[k][y] - z)
-                                step = (ys[k - 1] == x and ys[k] == y) - p
+                                step = (ys[k - 1] == x and ys[k] == y) - pairs[k - 1][x][y]
                                 seen_t[x][y] += step * step
                                 t[x][y] += 0.1 * rate * step / math.sqrt(seen_t[x][y])
         return self
@@ -194,8 +247,9 @@ def _add(a: float, b: float) -> float:
 MAIN, REST = "main", "rest"
 
 
-def training_pages(n: int = PAGES, seed: int = SEED) -> Iterator[tuple[str, list[str]]]:
-    """(html, the main blocks' texts in order) of ``n`` invented pages of many layouts."""
+def training_pages(n: int = PAGES, seed: int = SEED, broken: bool = True) -> Iterator[tuple[str, list[str]]]:
+    """(html, the main blocks' texts in order) of ``n`` invented pages of many layouts; ``broken``: with headings in
+    unclosed bold, and every third page a plain blog's."""
     rng = random.Random(seed)
     syllables = ["ta", "ro", "mi", "sel", "un", "dor", "ka", "ler", "ön", "fi", "va", "gré", "st", "ing", "pa", "ñe", "zu", "ber"]
     word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randint(1, 4)))
@@ -254,7 +308,7 @@ def training_pages(n: int = PAGES, seed: int = SEED) -> Iterator[tuple[str, list
             shown = pick([True, True, False])
             if shown:
                 parts.append(f"<h1>{keep(title)}</h1>")
-            if rng.random() < 0.5:
+            if rng.random() < 0.5 and broken:
                 # A heading in unclosed bold, then a break.
                 parts.append(f"<p><b>{keep(title + '.')}<br>")
             for _ in range(rng.randint(1, 9)):
@@ -272,7 +326,7 @@ def training_pages(n: int = PAGES, seed: int = SEED) -> Iterator[tuple[str, list
                     parts.append("<table><tr>" + "".join(f"<td>{keep(words(1, 5))}</td>" for _ in range(rng.randint(2, 5))) + "</tr></table>")
                 elif kind < 0.92:
                     parts.append(f"<pre>{keep(words(3, 20))}</pre>")
-                else:
+                elif broken:
                     parts.append(f"<p><b>{keep(sentence())}<br>")
                 if inner and rng.random() < 0.25:
                     parts.append(inner.pop()())
@@ -282,7 +336,7 @@ def training_pages(n: int = PAGES, seed: int = SEED) -> Iterator[tuple[str, list
         wrap = pick(["<article>{}</article>"] * 6 + ["<main>{}</main>", "<main><article>{}</article></main>", '<div class="content">{}</div>', '<div id="content"><div class="post">{}</div></div>', '<div class="entry-content">{}</div>', '<div id="main" class="article-body">{}</div>', '<section class="story">{}</section>', "<div>{}</div>"])
         top = [x for x in (menu, menu, header, advert, notice, form, side) if rng.random() < 0.45]
         end = [x for x in (side, comments, comments, advert, form, footer, footer, notice, menu) if rng.random() < 0.4]
-        if number % 3 == 0:
+        if broken and number % 3 == 0:
             top, end, inside = [menu, advert], [footer], []
         rng.shuffle(inside)
         before = "".join(f() for f in top)
@@ -295,10 +349,10 @@ def training_pages(n: int = PAGES, seed: int = SEED) -> Iterator[tuple[str, list
 def labelled(page: str, main: list[str]) -> tuple[list[list[str]], list[int]]:
     """Features and labels: a block is main text if it is the next of ``main``."""
     found, labels, left = blocks(page), [], list(main)
-    for text, _, _ in found:
-        labels.append(int(text in left))
+    for block in found:
+        labels.append(int(block.text in left))
         if labels[-1]:
-            left.remove(text)
+            left.remove(block.text)
     return [features(b, k, len(found)) for k, b in enumerate(found)], labels
 
 
@@ -308,9 +362,9 @@ def train(n: int = PAGES, seed: int = SEED) -> Chain:
 
 def main_text(page: str, model: Chain) -> tuple[str, int, int]:
     """(main text, blocks, main blocks)."""
-    found = blocks(page)
-    states = model.decode([features(b, k, len(found)) for k, b in enumerate(found)])
-    kept = [b[0] for b, y in zip(found, states) if y]
+    found, get = blocks(page, model.w), model.w.get
+    states = model.decode([b.score + sum(get(f, 0.0) for f in own_features(b, k, len(found))) for k, b in enumerate(found)])
+    kept = [b.text for b, y in zip(found, states) if y]
     return " ".join(kept), len(found), len(kept)
 
 
