@@ -3,11 +3,16 @@
 Keys hash to a fixed number of ring places; each shard owns ``VNODES`` points of the ring. A place's rows go to the
 next shard clockwise; what a full shard can't take continues clockwise to the next one with room. Capacities are
 rows / shards, the rest one each, so shards differ by one row at most. Only the places' counts (at most ``PLACES``
-rows, whatever the input) are walked; rows are then ranked within their place and find their shard in the plan's
-intervals. All steps are DataFrame functions.
+rows, whatever the input) are walked; rows are then ranked within their place, in two levels, and find their shard in
+the plan's intervals. All steps are DataFrame functions.
 
-Defined results: a null text has no bytes and checksum 0; null ids share a place; repeated rows are separate rows
-with slots of their own; an empty table gives an empty result; other columns are ignored.
+The key of a document is the hash of its text: a group of equal texts has one place and stays together as far as the
+law allows, that is but for the shard limits inside it. A hot place is spread over ``SPREAD`` buckets of rows, so no
+task ranks it alone.
+
+Defined results: a null text has no bytes and checksum 0, and one key with the empty text; repeated rows are separate
+rows with slots of their own; rows without id stand after those with one in their bucket, which of them has which slot
+is open; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -15,9 +20,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from digestloom.llm.common import staged
+from digestloom.llm.common import ranked, staged
 
 PLACES, VNODES = 4096, 16
+#: A place is ranked in so many buckets: by text, and by id within a text.
+SPREAD = 64
 PIECES = "array<struct<place:int,first:bigint,last:bigint,shard:int>>"
 
 
@@ -52,19 +59,24 @@ def plan_shards(counts: DataFrame, shards: int) -> DataFrame:
 
 
 def shard_rows(rows: DataFrame, key: str, order: list[str], shards: int) -> DataFrame:
-    """``rows`` with shard and slot (gapless from 0 within the shard)."""
-    rows = rows.withColumn("place", place_of(F.col(key)))
-    plan = plan_shards(rows.groupBy("place").agg(F.count(F.lit(1)).alias("n")), shards)
-    inside = F.row_number().over(Window.partitionBy("place").orderBy(*order)).cast("long") - 1
+    """``rows`` (staged) with shard and slot (gapless from 0 within the shard). Rows of a place stand in the order of
+    their keys' hashes, so that those of one key stand together, then by a hash of ``order``."""
+    salt = F.pmod(F.xxhash64(F.lit(SPREAD), *order), F.lit(SPREAD))
+    text = F.pmod(F.xxhash64(F.lit(SPREAD), key), F.lit(SPREAD))
+    rows = rows.withColumn("place", place_of(F.col(key))).withColumn("_bucket", (text * SPREAD + salt).cast("int"))
+    counts = rows.groupBy("place", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    plan = plan_shards(counts.groupBy("place").agg(F.sum("_n").alias("n")), shards)
+    numbered = ranked(rows, ["place"], "_bucket", [F.col(c).asc_nulls_last() for c in order], counts, "_rank")
     # The plan has PLACES + 2 * shards rows at most, so broadcasting it is safe at any size of the input.
-    met = rows.withColumn("_rank", inside).alias("r").join(F.broadcast(plan).alias("p"), F.expr("r.place = p.place and r._rank >= p.first and r._rank < p.last"))
-    return met.select(*(F.col(f"r.{c}") for c in rows.columns if c != "place"), F.col("p.shard"), (F.col("p.slot") + F.col("r._rank") - F.col("p.first")).alias("slot"))
+    met = numbered.alias("r").join(F.broadcast(plan).alias("p"), F.expr("r.place = p.place and r._rank >= p.first and r._rank < p.last"))
+    return met.select(*(F.col(f"r.{c}") for c in rows.columns if c not in ("place", "_bucket")), F.col("p.shard"), (F.col("p.slot") + F.col("r._rank") - F.col("p.first")).alias("slot"))
 
 
 def shard_documents(docs: DataFrame, shards: int = 40, overhead: int = 16) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document."""
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", (F.octet_length(text) + overhead).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
-    rows = staged(rows, "sizes")
-    out = shard_rows(rows, "doc_id", ["doc_id", "text_crc32", "size"], shards)
+    rows = docs.select("doc_id", (F.octet_length(text) + overhead).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.unhex(F.md5(text)).alias("_key"))
+    # Rows alike in all of these, as rows without id may be, are told apart by where they were read.
+    rows = staged(rows.withColumn("_row", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())), "sizes")
+    out = shard_rows(rows, "_key", ["doc_id", "_row", "_key"], shards)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
