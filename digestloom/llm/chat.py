@@ -35,6 +35,8 @@ COSTS = {"keep": 0.0, "relabel": 3.0, "relabel_unknown": 0.5, "merge_same": 1.0,
 INF = float("inf")
 # The rendering's marks.
 OPEN, CLOSE, JOIN = "<|{}|>\n", "<|end|>\n", "\n\n"
+#: A part's rows and bytes of text, about.
+PART_ROWS, PART_BYTES = 100_000, 32 << 20
 SCHEMA = "conv_id long, turn_no long, turn long, role string, new_role string, action string, inserted int, cost double, rendered string"
 
 
@@ -159,7 +161,9 @@ def repair(turns: DataFrame) -> DataFrame:
     rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text", key.alias("key"))
     rows = rows.withColumn("tie", F.xxhash64("role", "text")).withColumn("row", F.monotonically_increasing_id())
     order = ["key", "turn", "tie", "row"]
-    parts = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Parts are one pandas frame each, so their number follows the table's rows and bytes.
+    total = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    parts = max(1, -(-total.n // PART_ROWS), -(-total.bytes // PART_BYTES))
     # Every row has its own place in the range order, so that no part grows with a conversation or a repeated row.
     dealt = staged(rows.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "turns")
 

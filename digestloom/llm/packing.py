@@ -22,8 +22,8 @@ from digestloom.llm.common import ranked, staged
 
 SEQUENCE = 1024
 END_ID = 0
-#: Pieces of one length are ranked in so many parts.
-SPREAD = 256
+#: Pieces of one length are ranked in parts of so many pieces at most, in SPREAD parts at least: most are full ones.
+PART_PIECES, SPREAD = 200_000, 256
 PIECES = "doc_id long, row long, start long, length long, ids_crc32 long, doc_tokens long"
 #: The vocabulary's special token; tokenizers finds it inside texts and gives it its own id.
 SPECIAL = "<|endoftext|>"
@@ -140,7 +140,8 @@ def pattern_slots(packs: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, i
 def pack(pieces: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
     """``pieces`` (staged: doc_id, row, start, length) with sequence_id and offset."""
     spark = pieces.sparkSession
-    pieces = pieces.withColumn("_part", F.pmod(F.xxhash64("doc_id", "row", "start"), F.lit(SPREAD)).cast("int"))
+    spread = max(SPREAD, -(-pieces.count() // PART_PIECES))
+    pieces = pieces.withColumn("_part", F.pmod(F.xxhash64("doc_id", "row", "start"), F.lit(spread)).cast("int"))
     counts = staged(pieces.groupBy("length", "_part").agg(F.count(F.lit(1)).alias("_n")), "piece_counts")
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}  # at most `sequence` rows
     slots = pattern_slots(pack_lengths(histogram, sequence))
