@@ -24,10 +24,14 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again: lineage is cut, lost executors lose nothing."""
+    """``df`` written as Parquet in the shared folder and read again: lineage is cut, lost executors lose nothing. The
+    table goes when the driver's JVM ends, as results may be read until then."""
     spark = df.sparkSession
-    path = f"{shared_root(spark)}/digestloom-{uuid.uuid4().hex}/{name}"
+    folder = f"{shared_root(spark)}/digestloom-{uuid.uuid4().hex}"
+    path = f"{folder}/{name}"
     df.write.parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
     return spark.read.schema(df.schema).parquet(path)
 
 
