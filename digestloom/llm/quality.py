@@ -5,6 +5,11 @@ vote patterns estimates, without labels, how common good texts are and how often
 texts; a text is kept when its posterior probability of being good reaches a half. Only vote patterns are counted, at
 most 3 ** rules rows whatever the input, and all steps are DataFrame or SQL functions.
 
+The rules overlap: each kind of junk (signs in words, words repeated, capitals, tables without sentences) is seen by
+two or more, which read it from different counts. So no rule needs to be right by decree: one bad vote among good ones
+is outweighed where the rule turns out to err on good texts, and several bad votes are not. The accuracies have Beta
+priors (PRIOR_GOOD, PRIOR_BAD): votes that each rule is imagined to have cast beforehand.
+
 Defined results: a null text is an empty one; a text without words has no repeats, fails the base rules and is not
 kept; ties are texts with the same votes and get the same posterior; an empty table gives an empty result; repeated
 rows are judged alike; other columns are carried along untouched.
@@ -20,19 +25,28 @@ from digestloom.llm.common import BLANKS, WORD, staged
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 ROUNDS = 40
-#: Rules are written so that good text does not trip them: their accuracy on good texts is held at this or above.
-#: Left free, EM calls a kind of junk good that one rule alone sees, as all other rules vote good there.
-LEAST_ON_GOOD = 0.9999
+#: (right votes, wrong votes) that each rule is imagined to have cast on good and on bad texts, and (good, bad) texts:
+#: a rule is thought right on nine of ten good texts and on every second bad one until the votes say otherwise.
+PRIOR_GOOD, PRIOR_BAD, PRIOR_TEXTS = (9.0, 1.0), (1.0, 1.0), (9.0, 1.0)
+#: Where EM starts: the probability of being good by number of bad votes (2: two or more).
+START = (0.95, 0.5, 0.05)
 #: name -> (bad if, good if), else the rule abstains. Over the columns of signals().
 RULES = {
     "symbols": ("n_symbols > 0.08 * word_chars", "n_symbols <= 0.01 * word_chars"),
+    "signed_words": ("n_signed > 0.3 * n_words", "n_signed <= 0.02 * n_words"),
     "repeats": ("n_repeat_words > 0.5 * n_words", "n_repeat_words <= 0.05 * n_words"),
-    "lines": ("n_lines >= 6 and n_dup_lines > 0.5 * n_lines", "n_dup_lines <= 0.1 * n_lines"),
+    # A text of n words has some multiple of the root of n different ones.
+    "vocabulary": ("n_distinct * n_distinct < 6 * n_words", "n_distinct * n_distinct >= 25 * n_words"),
+    "stutter": ("n_stutter > 0.2 * n_words", "n_stutter <= 0.02 * n_words"),
+    "lines": ("n_lines >= 4 and n_dup_lines > 0.2 * n_lines", "n_dup_lines <= 0"),
     "shouting": ("n_upper > 0.5 * word_chars", "n_upper <= 0.1 * word_chars"),
     "marks": ("n_marks > 0.5 * n_words", "n_marks <= 0.1 * n_words"),
-    "word_length": ("word_chars < 2 * n_words or word_chars > 14 * n_words", "word_chars between 4 * n_words and 7 * n_words"),
+    "single_characters": ("n_single > 0.3 * n_words", "n_single <= 0.1 * n_words"),
+    "word_length": ("10 * word_chars < 33 * n_words or word_chars > 10 * n_words", "10 * word_chars between 45 * n_words and 80 * n_words"),
+    # A weak sign: many good texts are short.
+    "brief": ("n_words < 30", "n_words >= 100"),
 }
-SIGNALS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_marks"]
+SIGNALS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_marks", "n_distinct", "n_stutter", "n_single", "n_signed"]
 
 
 def without(chars: str) -> str:
@@ -65,6 +79,10 @@ def signals(docs: DataFrame, text_col: str = "text") -> DataFrame:
         F.expr(f"cast(aggregate(transform(_starts, (x, i) -> least({WINDOW}, coalesce(get(_starts, i + 1) - x, {WINDOW}))), 0, (a, x) -> a + x) as bigint)").alias("n_repeat_words"),
         F.expr(f"cast(_chars - {without(upper)} as bigint)").alias("n_upper"),
         F.expr(f"cast(_chars - {without('!?')} as bigint)").alias("n_marks"),
+        F.size(F.array_distinct("_words")).cast("long").alias("n_distinct"),
+        F.expr("cast(size(filter(_words, (w, i) -> i > 0 and w = get(_words, i - 1))) as bigint)").alias("n_stutter"),
+        F.expr("cast(size(filter(_words, w -> length(w) = 1)) as bigint)").alias("n_single"),
+        F.expr(f"cast(size(filter(_words, w -> rlike(w, '[{SYMBOLS}]'))) as bigint)").alias("n_signed"),
     )
     # Through explode no filter on the counts is pushed down, which would work them out again inside each condition.
     return d.select(*names, F.explode(F.array(counts)).alias("_counts")).select(*names, "_counts.*")
@@ -85,12 +103,16 @@ def estimate(patterns: DataFrame, n_rules: int, rounds: int = ROUNDS) -> list[fl
     def total(what: str) -> str:
         return f"aggregate(e, 0D, (a, x) -> a + ({what}))"
 
-    # Two imagined votes for each rate keep it off 0 and 1.
-    good = [f"greatest({LEAST_ON_GOOD}D, ({total(f'if(x.votes[{j}] = 1, x.n * x.p, 0D)')} + 1.9D) / ({total(f'if(x.votes[{j}] = 0, 0D, x.n * x.p)')} + 2D))" for j in rules]
-    bad = [f"({total(f'if(x.votes[{j}] = -1, x.n * (1 - x.p), 0D)')} + 1D) / ({total(f'if(x.votes[{j}] = 0, 0D, x.n * (1 - x.p))')} + 2D)" for j in rules]
-    rates = f"array(({total('x.n * x.p')} + 1.9D) / ({total('x.n')} + 2D), {', '.join(good + bad)})"
+    def rate(right: int, weight: str, prior: tuple[float, float], j: int) -> str:
+        votes = total(f"if(x.votes[{j}] = 0, 0D, {weight})")
+        return f"({total(f'if(x.votes[{j}] = {right}, {weight}, 0D)')} + {prior[0]}D) / ({votes} + {sum(prior)}D)"
+
+    good = [rate(1, "x.n * x.p", PRIOR_GOOD, j) for j in rules]
+    bad = [rate(-1, "x.n * (1 - x.p)", PRIOR_BAD, j) for j in rules]
+    rates = f"array(({total('x.n * x.p')} + {PRIOR_TEXTS[0]}D) / ({total('x.n')} + {sum(PRIOR_TEXTS)}D), {', '.join(good + bad)})"
     m_step = "transform(array({e}), e -> " + rates + ")[0]"
-    start = m_step.format(e="transform(patterns, x -> struct(x.votes as votes, x.n as n, if(array_contains(x.votes, -1), 0.001D, 0.999D) as p))")
+    first = f"array({', '.join(f'{p}D' for p in START)})[least(2, size(filter(x.votes, v -> v = -1)))]"
+    start = m_step.format(e=f"transform(patterns, x -> struct(x.votes as votes, x.n as n, {first} as p))")
     step = m_step.format(e=f"transform(patterns, x -> struct(x.votes as votes, x.n as n, {posterior} as p))")
     row = patterns.agg(F.sort_array(F.collect_list(F.struct("votes", F.col("n").cast("double").alias("n")))).alias("patterns"))
     return list(row.select(F.expr(f"aggregate(sequence(1, {rounds}), {start}, (s, t) -> {step})").alias("s")).first().s)
