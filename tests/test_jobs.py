@@ -93,6 +93,45 @@ def test_stream_resumes_after_a_clean_early_end(server):
     assert archive.measured(io.BytesIO(bytes(100)), 9, 30)[0] == 100
 
 
+def test_members_with_data_descriptors(tmp_path):
+    class Unseekable(io.RawIOBase):
+        def __init__(self):
+            self.data = bytearray()
+
+        def writable(self):
+            return True
+
+        def write(self, b):
+            self.data += bytes(b)
+            return len(b)
+
+    body = os.urandom(100_000)
+    for kind in (zipfile.ZIP_DEFLATED, zipfile.ZIP_STORED):
+        sink = Unseekable()
+        with zipfile.ZipFile(sink, "w", kind) as z:
+            z.writestr("notes/a.txt", "x" * 70_000)
+            z.writestr("RDS_1_modern/RDS_1_modern_minimal.db", b"small")
+            z.writestr("x\\RDS_1_modern.db", body)
+        data = bytes(sink.data)
+        assert b"PK\x07\x08" in data
+        if kind == zipfile.ZIP_DEFLATED:
+            assert b"".join(archive.member_bytes(io.BytesIO(data), None)) == body
+            (tmp_path / "a.zip").write_bytes(data)
+            target = archive.stage_member(f"file://{tmp_path}/a.zip", f"{tmp_path}/out.db")
+            assert open(target, "rb").read() == body
+            for want, found in (("none.db", "RDS_1_modern_minimal.db"), ("b/*.dbx", "RDS_1_modern.db")):
+                with pytest.raises(archive.ArchiveError, match=found):
+                    list(archive.member_bytes(io.BytesIO(data), want))
+            with pytest.raises(archive.ArchiveError, match="too soon"):
+                list(archive.member_bytes(io.BytesIO(data[:90_000]), None))
+            with pytest.raises(archive.ArchiveError):
+                archive.stage_member(f"file://{tmp_path}/a.zip", f"{tmp_path}/none.db", "none.db")
+            assert not [x for x in os.listdir(tmp_path) if x.startswith("none.db")]
+        else:
+            with pytest.raises(archive.ArchiveError, match="without a size"):
+                list(archive.member_bytes(io.BytesIO(data), None))
+
+
 def test_inflated_members(spark, tmp_path):
     lines = [f"line {k} {'x' * (k % 50)}" for k in range(5000)]
     text = "\r\n".join(lines).encode()

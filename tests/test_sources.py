@@ -77,6 +77,20 @@ def test_resuming_stream():
     assert out == data and waits == [2.0, 4.0, 8.0]
 
 
+def test_member_names():
+    for name, want, fits in (
+        ("RDS_2024.03.1_modern/RDS_2024.03.1_modern.db", archive.MEMBER, True), ("deep/er/RDS_9_MODERN.DB", archive.MEMBER, True), ("RDS_1_modern/x.db", archive.MEMBER, False),
+        ("a/b/c.db", "b/c.db", True), ("a/b/c.db", "C.DB", True), ("a/bb/c.db", "b/c.db", False), ("./c.db", "c.db", True), ("c.db", "a/c.db", False), ("a/x_modern.db.bak", None, False), ("", None, False), ("", "c.db", False),
+    ):
+        assert archive.member_matches(name, want) == fits, (name, want)
+
+
+def test_database_names(spark):
+    names = ["a/b.DB", "x\\y.sqlite3", "c.sqlite", "d.dbx", "e_modern.db", "E_modern_minimal.db", ""]
+    got = spark.createDataFrame([(n,) for n in names], "name string").select(fn.is_sqlite_member(F.col("name")).alias("s"), fn.is_modern_db(F.col("name")).alias("m")).collect()
+    assert [(r.s, r.m) for r in got] == [(True, False), (True, False), (True, False), (False, False), (True, True), (True, False), (False, False)]
+
+
 def test_names():
     assert archive.member_matches("RDS_1_modern\\RDS_1_modern.db") and not archive.member_matches("x/readme.txt")
     assert archive.member_matches("a/b_modern.db", None) and not archive.member_matches("a/b_modern_minimal.db", None)
