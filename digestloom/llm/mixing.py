@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from digestloom.llm.common import n_words, ranked
+from digestloom.llm.common import n_words, ranked, staged
 
 # The weights of the contract, repeating in the order of the sources.
 WEIGHTS = (5, 2, 1)
@@ -67,5 +67,6 @@ def mix_copies(docs: DataFrame, weights=WEIGHTS, budget: float = 1.0, most: floa
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` as mixed: each row as often as it is taken, with its own columns only."""
     rows = docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("_row"), F.col(id_col).alias("_id"), F.col("source").alias("_src"), n_words(F.col(text_col)).cast("long").alias("_size"))
-    out = mix_copies(rows, id_col="_id", source_col="_src", **how).filter("_copies > 0")
+    # Sizes are counted once; the sums by bucket and the ranks read them.
+    out = mix_copies(staged(rows, "mix_rows"), id_col="_id", source_col="_src", **how).filter("_copies > 0")
     return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select("_row.*")

@@ -147,6 +147,7 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their own columns. Clashing names are safe: judged apart, by struct."""
+    """The rows of ``docs`` that are kept, with their own columns. Clashing names are safe: judged apart, by struct.
+    Texts are counted once: the rows are staged with their counts, which both the estimate and the filter read."""
     whole = docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("_row"), F.col("text"))
-    return judge(signals(whole)).filter("kept").select("_row.*")
+    return judge(staged(signals(whole).drop("text"), "counted")).filter("kept").select("_row.*")
