@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,15 +26,46 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+_OPEN = threading.local()
+
+
+def _scratches() -> list[list[str]]:
+    if not hasattr(_OPEN, "made"):
+        _OPEN.made = []
+    return _OPEN.made
+
+
+def _hadoop_path(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside go at the end, but for those staged with ``keep``: these belong to the scratch around it."""
+    made: list[str] = []
+    _scratches().append(made)
+    try:
+        yield
+    finally:
+        _scratches().pop()
+        for folder in made:
+            files, path = _hadoop_path(spark, folder)
+            files.delete(path, True)
+
+
+def staged(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again: lineage is cut, lost executors lose nothing. The
-    table goes when the driver's JVM ends, as results may be read until then."""
+    table goes with the scratch it belongs to, or when the driver's JVM ends, as results may be read until then."""
     spark = df.sparkSession
     folder = f"{shared_root(spark)}/digestloom-{uuid.uuid4().hex}"
     path = f"{folder}/{name}"
     df.write.parquet(path)
-    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
+    files, at = _hadoop_path(spark, folder)
+    files.deleteOnExit(at)
+    around = _scratches()[: -1 if keep else None]
+    if around:
+        around[-1].append(folder)
     return spark.read.schema(df.schema).parquet(path)
 
 
