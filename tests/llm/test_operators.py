@@ -203,6 +203,27 @@ def test_near_dedup_brute_force(spark, sf_dir):
     assert all(got[i] >= want[t] for i, t in rows)
 
 
+def test_scratch_tables_go(spark):
+    import os
+
+    from digestloom.llm.common import scratch, shared_root, staged
+
+    root = shared_root(spark)
+    there = lambda: {d for d in os.listdir(root) if d.startswith("digestloom-")}
+    before = there()
+    with scratch(spark):
+        staged(spark.range(3), "a")
+        with scratch(spark):
+            inner = staged(spark.range(3), "b", keep=True)
+            staged(spark.range(3), "c")
+        assert len(there() - before) == 2 and inner.count() == 3
+        kept = staged(inner, "d", keep=True)
+    assert len(there() - before) == 1 and kept.count() == 3
+    rows = spark.createDataFrame([(k, f"a text of some words number {k % 3}") for k in range(9)], "doc_id long, text string")
+    before = there()
+    assert minhash.drop_near_copies(rows).count() == 3 and len(there() - before) == 1
+
+
 def test_components_match_union_find(spark):
     rng = random.Random(7)
     links = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(100, 101 + k) for k in range(300)] + [(k, k + 1) for k in range(500, 540)] + [(7, 7), (900, 900)]
