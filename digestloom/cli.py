@@ -131,15 +131,11 @@ def is_database(path: str) -> bool:
 def write(digests: DataFrame, out: str, kind: str, updated_unix: int | None) -> None:
     """Packs, or lists as well, with the counts said."""
     os.makedirs(out, exist_ok=True)
-    held = digests.persist()
-    try:
-        for path in packs.write_packs(held, out, updated_unix or int(time.time())).values():
-            say(f"{path}: {packs.pack_count(path)} digests")
-            if kind == "text":
-                feeds.export_text(held.sparkSession, path, f"{path.removesuffix('.bin')}.txt")
-                os.remove(path)
-    finally:
-        held.unpersist()
+    for path in packs.write_packs(digests, out, updated_unix or int(time.time())).values():
+        say(f"{path}: {packs.pack_count(path)} digests")
+        if kind == "text":
+            feeds.export_text(digests.sparkSession, path, f"{path.removesuffix('.bin')}.txt")
+            os.remove(path)
 
 
 def text(a: argparse.Namespace, spark: SparkSession) -> None:

@@ -89,11 +89,8 @@ def carve_parts(spark: SparkSession, path: str, folder: str, mib: int, uploader:
             done = int(f.read())
     number = -(-done // step)
     for first in range(done, total, step):
-        digests = exact_unique(pages.page_digests(spark, path, firstPage=str(first), lastPage=str(min(total, first + step)))).persist()
-        try:
-            write_packs(digests, folder, updated_unix, PART_PACK.format(number))
-        finally:
-            digests.unpersist()
+        found = pages.page_digests(spark, path, firstPage=str(first), lastPage=str(min(total, first + step)))
+        write_packs(exact_unique(found), folder, updated_unix, PART_PACK.format(number))
         number += 1
         with open(f"{note}.tmp", "w") as f:
             f.write(str(min(total, first + step)))

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
@@ -160,8 +161,12 @@ def write_pack(digests: DataFrame, path: str, algo: int, updated_unix: int | Non
 
 def write_packs(digests: DataFrame, folder: str, updated_unix: int | None = None, name: str = "clean_{}.bin") -> dict[int, str]:
     """A pack for each algorithm, its algorithm's name put into ``name``; one without digests gets its header alone.
-    ``digests`` should be staged or cached: each algorithm reads them anew."""
-    return {algo: write_pack(digests, f"{folder}/{name.format(kind)}", algo, updated_unix) for algo, (kind, _, _) in ALGOS.items()}
+    The digests are worked out once and held, in memory or on disk, while the packs are written."""
+    held = digests.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return {algo: write_pack(held, f"{folder}/{name.format(kind)}", algo, updated_unix) for algo, (kind, _, _) in ALGOS.items()}
+    finally:
+        held.unpersist()
 
 
 def header_count(path: str, size: int | None = None) -> int:

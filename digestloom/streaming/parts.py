@@ -76,11 +76,7 @@ def write_part_packs(stream: DataFrame, folder: str, checkpoint: str, uploader:
 
     def one(batch: DataFrame, number: int) -> None:
         os.makedirs(folder, exist_ok=True)
-        digests = exact_unique(batch).persist()
-        try:
-            write_packs(digests, folder, updated_unix, PART_PACK.format(number))
-        finally:
-            digests.unpersist()
+        write_packs(exact_unique(batch), folder, updated_unix, PART_PACK.format(number))
         if uploader:
             uploader.drain()
 
