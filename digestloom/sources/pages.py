@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -187,13 +188,13 @@ def run_cells(run: bytes, size: int, usable: int) -> tuple[np.ndarray, np.ndarra
     end, n = start + head, len(TAIL_BYTES)
     shaped = plain & (end - types >= n)
     near = np.flatnonzero(shaped)
-    tail = data[(end[near] - n)[:, None] + np.arange(n)] == TAIL_BYTES
+    tail = sliding_window_view(data, n)[end[near] - n] == TAIL_BYTES
     near = near[tail.all(axis=1)]
     parted = (end[near] - n == types[near]) | (data[end[near] - n - 1] < 0x80)
     body = body_sizes(data, types[near], end[near])
     exact = parted & (body >= 0) & (head[near] + body == payload[near])
     odd, near = near[~exact], near[exact]
-    values = data[(start + payload)[near][:, None] + np.arange(-sum(VALUES), 0)]
+    values = sliding_window_view(data, sum(VALUES))[(start + payload)[near] - sum(VALUES)]
     ascii_ = (values < 0x80).all(axis=1)
     slow = np.concatenate([np.flatnonzero(~plain), odd, near[~ascii_]])
     return page[near[ascii_]], cell[near[ascii_]], values[ascii_], list(zip(page[slow].tolist(), cell[slow].tolist()))
