@@ -20,9 +20,12 @@ from digestloom.operators.catalog import grouped_assets
 from digestloom.operators.split import part_name, parts_needed, text_parts
 from digestloom.operators.unique import exact_unique
 from digestloom.sources import pages
-from digestloom.sources.packs import pack_count, read_packs, write_pack, write_packs
+from digestloom.sources.packs import copied, pack_count, read_packs, write_pack, write_part_packs
 from digestloom.streaming.parts import PART_PACK, Uploader
 
+#: Small parts are carved together, so many MiB of pages in one job.
+TOGETHER_MIB = 256
+
 
 def text_lines(digests: DataFrame) -> DataFrame:
     """``line``: lower-case hex, in byte order within each algorithm."""
@@ -77,9 +80,10 @@ def merge_part_packs(spark: SparkSession, folder: str, out: str, updated_unix: i
 
 
 def carve_parts(spark: SparkSession, path: str, folder: str, mib: int, uploader: Uploader | None = None, updated_unix: int | None = None, progress: Callable[[int, int, int], None] | None = None) -> int:
-    """A database's digests as triples of part packs, each of ``mib`` MiB of pages. The pages done are noted in the
-    folder, so a job that starts again goes on with the part that was not whole. ``progress`` is called with (parts,
-    pages done, pages) after each part. Returns the parts there have been."""
+    """A database's digests as triples of part packs, each of ``mib`` MiB of pages. Small parts are carved together, up
+    to TOGETHER_MIB in one job. The pages done are noted in the folder, so a job that starts again goes on with the
+    first part that was not noted as whole. ``progress`` is called with (parts, pages done, pages) for each part.
+    Returns the parts there have been."""
     os.makedirs(folder, exist_ok=True)
     size, _ = pages.page_size(path)
     total, step, note = os.path.getsize(path) // size, max(1, mib * 2**20 // size), f"{folder}/pages.done"
@@ -88,17 +92,20 @@ def carve_parts(spark: SparkSession, path: str, folder: str, mib: int, uploader:
         with open(note) as f:
             done = int(f.read())
     number = -(-done // step)
-    for first in range(done, total, step):
-        found = pages.page_digests(spark, path, firstPage=str(first), lastPage=str(min(total, first + step)))
-        write_packs(exact_unique(found), folder, updated_unix, PART_PACK.format(number))
-        number += 1
+    together = step * max(1, TOGETHER_MIB // max(1, mib))
+    for first in range(done, total, together):
+        last = min(total, first + together)
+        parts = range(number, number + -(-(last - first) // step))
+        found = pages.part_digests(spark, path, first, last, step, number)
+        write_part_packs(found.dropDuplicates(["part", "algo", "digest"]), folder, PART_PACK, parts, updated_unix)
+        number = parts.stop
         with open(f"{note}.tmp", "w") as f:
-            f.write(str(min(total, first + step)))
+            f.write(str(last))
         os.replace(f"{note}.tmp", note)
         if uploader:
             uploader.drain()
-        if progress:
-            progress(number, min(total, first + step), total)
+        for k in parts if progress else ():
+            progress(k + 1, min(total, first + (k + 1 - parts.start) * step), total)
     return number
 
 
@@ -123,12 +130,6 @@ def split_pack(path: str, limit: int) -> list[str]:
     return out
 
 
-def copied(source, target, n: int, block: int = 1 << 20) -> None:
-    while n and (data := source.read(min(n, block))):
-        target.write(data)
-        n -= len(data)
-
-
 def line_lengths(path: str) -> Iterator[int]:
     with open(path, "rb") as f:
         yield from map(len, f)

@@ -3,7 +3,8 @@
 A pack is a 24-byte little-endian header (magic, version, algorithm, time, count) and the sorted digests. Reading:
 option ``mode`` PERMISSIVE takes broken files as far as they go; ``headerOnly`` gives one header row a file. Writing:
 rows must come range-partitioned and sorted (write_pack() does that); tasks write segments, the commit puts them behind
-the header in order of their first digests and renames the file into place.
+the header in order of their first digests and renames the file into place. ``digest_part_packs`` writes the packs of
+many parts in one such job (write_part_packs()).
 """
 
 from __future__ import annotations
@@ -26,12 +27,25 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 from digestloom.model import ALGOS, HEADER_BYTES, WIDTH, PackFormatError, pack_header, parse_header
 from digestloom.sources.archive import request
 
+#: Small packs that one task reads.
+MOST_FILES = 64
 HEADER_SCHEMA = "magic long, version int, algo int, updated_unix long, count long"
 
 
-class Records(InputPartition):
-    def __init__(self, path: str, algo: int, first: int, last: int, header: tuple) -> None:
-        self.path, self.algo, self.first, self.last, self.header = path, algo, first, last, header
+@dataclass
+class Records:
+    path: str
+    algo: int
+    first: int
+    last: int
+    header: tuple
+
+
+class Ranges(InputPartition):
+    """Record ranges that one task reads: one of a large pack, or those of many small ones."""
+
+    def __init__(self, ranges: list[Records]) -> None:
+        self.ranges = ranges
 
 
 class PackReader(DataSourceReader):
@@ -43,8 +57,8 @@ class PackReader(DataSourceReader):
         if not self.paths:
             raise PackFormatError(f"no pack matches {options['path']}")
 
-    def partitions(self) -> list[Records]:
-        out = []
+    def partitions(self) -> list[Ranges]:
+        out, held = [], 0
         for path in self.paths:
             size = os.path.getsize(path)
             with open(path, "rb") as f:
@@ -58,10 +72,21 @@ class PackReader(DataSourceReader):
             algo, count = header[2], header[4]
             count = min(count, (size - HEADER_BYTES) // WIDTH[algo])
             step = max(1, count) if self.header_only else self.records
-            out += [Records(path, algo, k, min(count, k + step), header) for k in range(0, max(1, count), step)]
+            for k in range(0, max(1, count), step):
+                found = Records(path, algo, k, min(count, k + step), header)
+                n = found.last - found.first
+                if not out or held + n > self.records or len(out[-1].ranges) == MOST_FILES:
+                    out.append(Ranges([]))
+                    held = 0
+                out[-1].ranges.append(found)
+                held += n
         return out
 
-    def read(self, part: Records) -> Iterator:
+    def read(self, task: Ranges) -> Iterator:
+        for part in task.ranges:
+            yield from self.records_of(part)
+
+    def records_of(self, part: Records) -> Iterator:
         if self.header_only:
             yield part.header
             return
@@ -83,6 +108,14 @@ class Segment(WriterCommitMessage):
     count: int
 
 
+@dataclass
+class PartSegments(WriterCommitMessage):
+    """Segments of many packs in one file: (part, algorithm, place in the file, first digest, count) of each."""
+
+    path: str
+    runs: list[tuple[int, int, int, bytes, int]]
+
+
 def in_order(digests: np.ndarray) -> bool:
     """Whether the rows of bytes rise strictly: at the first byte where two neighbours differ, the later is greater."""
     a, b = digests[:-1], digests[1:]
@@ -91,6 +124,15 @@ def in_order(digests: np.ndarray) -> bool:
     return bool(differ.any(axis=1).all() and (np.take_along_axis(a, at, 1) < np.take_along_axis(b, at, 1)).all())
 
 
+def joined(column: pa.Array, width: int, last: bytes) -> bytes:
+    """The digests one behind the other, if they have this width and rise strictly from ``last``."""
+    whole = not column.null_count and pc.all(pc.equal(pc.binary_length(column), width)).as_py()
+    data = b"".join(column.to_pylist()) if whole else b""
+    if not whole or not in_order(np.frombuffer(last + data, np.uint8).reshape(-1, width)):
+        raise PackFormatError("digests of another width, or not in strict byte order")
+    return data
+
+
 class PackWriter(DataSourceArrowWriter):
     def __init__(self, options: dict) -> None:
         self.path, self.algo = options["path"], int(options["algo"])
@@ -104,10 +146,7 @@ class PackWriter(DataSourceArrowWriter):
                 n, column = batch.num_rows, batch.column(batch.schema.names.index("digest"))
                 if not n:
                     continue
-                whole = not column.null_count and pc.all(pc.equal(pc.binary_length(column), width)).as_py()
-                data = b"".join(column.to_pylist()) if whole else b""
-                if not whole or not in_order(np.frombuffer(last + data, np.uint8).reshape(-1, width)):
-                    raise PackFormatError("digests of another width, or not in strict byte order")
+                data = joined(column, width, last)
                 first, last, count = first or data[:width], data[-width:], count + n
                 f.write(data)
         return Segment(name, first, count)
@@ -129,6 +168,78 @@ class PackWriter(DataSourceArrowWriter):
                 os.remove(m.path)
 
 
+class PartPackWriter(DataSourceArrowWriter):
+    """The packs of the parts from ``firstPart`` up to ``lastPart``, of every algorithm; one without digests gets its
+    header alone. The part's number and the algorithm's name are put into ``name``."""
+
+    def __init__(self, options: dict) -> None:
+        self.folder, self.name, self.parts = options["path"], options["name"], range(int(options["firstPart"]), int(options["lastPart"]))
+        self.updated = int(options.get("updatedUnix") or time.time())
+
+    def write(self, batches: Iterator[pa.RecordBatch]) -> PartSegments:
+        os.makedirs(self.folder, exist_ok=True)
+        name, runs, last, at = f"{self.folder}/{uuid.uuid4().hex}.segment", [], b"", 0
+        with open(name, "wb") as f:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                part, algo, digest = (batch.column(batch.schema.names.index(c)) for c in ("part", "algo", "digest"))
+                part, algo = part.to_numpy(zero_copy_only=False), algo.to_numpy(zero_copy_only=False)
+                ends = [*(np.flatnonzero((part[1:] != part[:-1]) | (algo[1:] != algo[:-1])) + 1).tolist(), len(part)]
+                for begin, end in zip([0, *ends], ends):
+                    key = int(part[begin]), int(algo[begin])
+                    goes_on = bool(runs) and runs[-1][:2] == key
+                    if not goes_on and (key[0] not in self.parts or runs and key < runs[-1][:2]):
+                        raise PackFormatError(f"a digest of part {key[0]}, out of order or not of the parts {self.parts}")
+                    data = joined(digest.slice(begin, end - begin), WIDTH[key[1]], last if goes_on else b"")
+                    if goes_on:
+                        runs[-1] = (*runs[-1][:4], runs[-1][4] + end - begin)
+                    else:
+                        runs.append((*key, at, data[: WIDTH[key[1]]], end - begin))
+                    last, at = data[-WIDTH[key[1]] :], at + len(data)
+                    f.write(data)
+        return PartSegments(name, runs)
+
+    def commit(self, messages: list) -> None:
+        runs = sorted((part, algo, first, m.path, at, n) for m in messages if m for part, algo, at, first, n in m.runs)
+        k = 0
+        for part in self.parts:
+            for algo, (kind, _, width) in ALGOS.items():
+                begin = k
+                while k < len(runs) and runs[k][:2] == (part, algo):
+                    k += 1
+                target = f"{self.folder}/{self.name.format(part).format(kind)}"
+                temporary = f"{target}.{uuid.uuid4().hex}.tmp"
+                with open(temporary, "wb") as out:
+                    out.write(pack_header(algo, self.updated, sum(r[5] for r in runs[begin:k])))
+                    for _, _, _, path, at, n in runs[begin:k]:
+                        with open(path, "rb") as f:
+                            f.seek(at)
+                            copied(f, out, n * width)
+                os.replace(temporary, target)
+        self.abort(messages)
+
+    def abort(self, messages: list) -> None:
+        for m in messages:
+            if m and os.path.exists(m.path):
+                os.remove(m.path)
+
+
+def copied(source, target, n: int, block: int = 1 << 20) -> None:
+    while n and (data := source.read(min(n, block))):
+        target.write(data)
+        n -= len(data)
+
+
+class DigestPartPacks(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "digest_part_packs"
+
+    def writer(self, schema, overwrite: bool) -> PartPackWriter:
+        return PartPackWriter(self.options)
+
+
 class DigestPack(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -169,6 +280,17 @@ def write_packs(digests: DataFrame, folder: str, updated_unix: int | None = None
         held.unpersist()
 
 
+def write_part_packs(digests: DataFrame, folder: str, name: str, parts: range, updated_unix: int | None = None) -> None:
+    """A pack for each of the ``parts`` and each algorithm of ``digests`` (part, algo, digest), unique in each part, all
+    in one job. The part's number is put into ``name``, then the algorithm's name."""
+    spark = digests.sparkSession
+    spark.dataSource.register(DigestPartPacks)
+    order = ("part", "algo", "digest")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = digests.select(*order).repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ordered.write.format("digest_part_packs").mode("append").options(name=name, firstPart=parts.start, lastPart=parts.stop, updatedUnix=updated_unix or 0).save(folder)
+
+
 def header_count(path: str, size: int | None = None) -> int:
     """The digests that the header of a file or http(s) url promises; only the header is read, so it may be of a part."""
     if path.startswith("http"):

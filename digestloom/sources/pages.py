@@ -29,6 +29,8 @@ TAIL = [13 + 2 * n for n in (8, 32, 40, 64)]
 LEAF, MAX_CELLS = 0x0D, 10_000
 #: Bytes of pages that are decoded together.
 RUN = 4 << 20
+#: Bytes of pages that a task reads where many parts are carved together.
+TASK_BYTES = 16 << 20
 NAMES = ["page_no", "cell_no", "kind", "value"]
 SCHEMA = "page_no long, cell_no int, kind int, value string"
 
@@ -286,3 +288,12 @@ def page_digests(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """(algo, digest) of all valid digests; an invalid one is dropped without its row's others."""
     found = scan_pages(spark, path, **options).filter("kind > 0").select(to_raw(F.col("value")).alias("digest"))
     return found.filter("digest is not null").select(algo_of(F.col("digest")).alias("algo"), "digest")
+
+
+def part_digests(spark: SparkSession, path: str, first: int, last: int, step: int, number: int) -> DataFrame:
+    """(part, algo, digest) of page_digests() of the pages from ``first`` up to ``last``, counted from 0, where a part
+    is ``step`` pages and the first part has this ``number``."""
+    run = max(1, min(16384, TASK_BYTES // page_size(path)[0]))
+    found = scan_pages(spark, path, firstPage=str(first), lastPage=str(last), pagesPerPartition=str(run)).filter("kind > 0")
+    found = found.select(F.expr(f"cast((page_no - 1 - {first}) div {step} + {number} as int)").alias("part"), to_raw(F.col("value")).alias("digest"))
+    return found.filter("digest is not null").select("part", algo_of(F.col("digest")).alias("algo"), "digest")

@@ -18,7 +18,7 @@ from digestloom.model import PackFormatError, pack_header
 from digestloom.operators import catalog
 from digestloom.operators.split import parts_needed, split_plan, text_parts
 from digestloom.plans import feeds
-from digestloom.sources import archive, packs, textfeed
+from digestloom.sources import archive, packs, pages, textfeed
 from digestloom.streaming import parts as streaming
 from pyspark.sql import functions as F
 
@@ -189,6 +189,41 @@ def test_carve_goes_on_where_it_stopped(spark, tmp_path):
     assert seen[-1][0] == 1 and seen[-1][1] == seen[-1][2] and payload(f"{out}/part_00000_md5.bin") == b"".join(DIGESTS["md5"])
 
 
+def test_small_parts_are_carved_together(spark, tmp_path):
+    path, out, sc = str(tmp_path / "a.db"), str(tmp_path / "par{}ts"), spark.sparkContext
+    with sqlite3.connect(path) as db:
+        db.execute("create table METADATA (path text, crc32 text, md5 text, sha1 text, sha256 text)")
+        db.executemany("insert into METADATA values (?, '00000000', ?, ?, ?)", [("p" * 900, md5(b"%d" % (k % 700)).hexdigest(), sha1(b"%d" % (k % 900)).hexdigest(), sha256(b"%d" % k).hexdigest()) for k in range(3000)])
+        db.execute("create table OTHER (x text)")  # the last parts have no digests
+        db.executemany("insert into OTHER values (?)", [("y" * 3000,) for _ in range(600)])
+    pages_, step, seen = os.path.getsize(path) // 4096, 256, []
+    sc.setJobGroup("carving", "carving")
+    try:
+        n = feeds.carve_parts(spark, path, out, 1, updated_unix=3, progress=lambda *x: seen.append(x))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    # In all, not for each part.
+    assert n == -(-pages_ // step) > 4 and len(sc.statusTracker().getJobIdsForGroup("carving")) <= 6
+    assert seen == [(k + 1, min(pages_, (k + 1) * step), pages_) for k in range(n)]
+    made = {}
+    for k in range(n):
+        found = pages.page_digests(spark, path, firstPage=str(k * step), lastPage=str(min(pages_, (k + 1) * step))).distinct().collect()
+        for algo, name in enumerate(DIGESTS, 1):
+            want = sorted(bytes(r.digest) for r in found if r.algo == algo)
+            with open(f"{out}/part_{k:05d}_{name}.bin", "rb") as f:
+                made[k, name] = f.read()
+            assert made[k, name] == pack_header(algo, 3, len(want)) + b"".join(want)
+    assert len(os.listdir(out)) == 3 * n + 1 and made[n - 1, "md5"] == pack_header(1, 3, 0)
+    # A start after two parts makes the others alone, alike.
+    for name in os.listdir(out):
+        os.remove(f"{out}/{name}")
+    (tmp_path / "par{}ts" / "pages.done").write_text(str(2 * step))
+    assert feeds.carve_parts(spark, path, out, 1, updated_unix=3) == n
+    for key, data in made.items():
+        name = f"{out}/part_{key[0]:05d}_{key[1]}.bin"
+        assert os.path.exists(name) == (key[0] >= 2) and (key[0] < 2 or open(name, "rb").read() == data)
+
+
 def test_uploader(tmp_path):
     for k in range(3):
         (tmp_path / f"part_0000{k}_md5.bin").write_bytes(b"x")
