@@ -8,8 +8,12 @@ throughout, however many copies there are.
 A bucket never emits all its pairs, unless it has at most ``SMALL`` members. The texts of larger buckets get a second,
 longer signature with bands of ten samples, in which pairs below the threshold seldom meet. Small buckets of these are
 compared in full. In a large one all members are compared with ``LEADERS`` central members, and the bucket is split by
-the samples of the next bands (two, four, eight ... bands long) until its parts are small. So the number of pairs is
-linear in the number of texts, whatever the size of a group, and no member is left without a comparison.
+the samples of the next bands (two, four, eight ... bands long) until its parts are small. So the number of these pairs
+is linear in the number of texts, whatever the size of a group. They make the first links and classes. What they leave
+out is settled after that: in each large bucket of the first bands whose members are not all of one class, every pair of
+members of different classes is compared by its samples, block against block, and verified like any other if enough
+agree. So a large bucket drops nothing that could change a class; pairs inside a class would only confirm it. The work
+of this grows with (members outside the bucket's largest class) * members, in the worst case with their square.
 
 Defined results: a null text is empty; all texts without words are one class; a text of fewer than five words is one
 shingle; a text's class is the least doc_id linked with it; repeated rows share a class; other columns are ignored.
@@ -41,6 +45,8 @@ FINE_BANDS, FINE_ROWS = 30, 10
 FINE_SAMPLES, FINE_AGREE = FINE_BANDS * FINE_ROWS, 210
 #: Buckets of at most SMALL members are compared in full, larger ones with LEADERS of their members, then split.
 SMALL, LEADERS = 24, 4
+#: Members of a large bucket that are compared with as many others in one group of rows; pairs compared at a time.
+BLOCK, CELLS_AT_ONCE = 512, 1 << 18
 #: Pairs whose total weights differ by more cannot be similar: the similarity is at most the lesser over the greater.
 LEAST_RATIO = SIMILAR * (1 - 1e-6)
 #: Document frequencies: TABLES sketches of CELLS cells, sent in CHUNKS pieces.
@@ -342,11 +348,74 @@ def met_in(keyed: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     return members.filter(F.col("n") <= SMALL), members.filter(F.col("n") > SMALL)
 
 
-def candidates(unique: DataFrame, texts, idf: Frequencies) -> tuple[DataFrame, DataFrame]:
-    """(a, b) whose samples agree often enough, and the texts (node, text) of all that share a bucket.
-    ``unique``: node, sig, weight, ...; ``texts``: from nodes to their texts."""
-    keys = F.explode(F.expr(f"transform(sequence(0, {BANDS - 1}), k -> xxhash64(k, substring(sig, {4 * ROWS} * k + 1, {4 * ROWS})))"))
-    small, large = met_in(unique.filter("sig is not null").select("node", keys.alias("bucket")), "coarse")
+def agreeing_pairs(keys: tuple, table: pa.Table) -> pa.Table:
+    """a, b (a < b) of different classes whose samples agree often enough, between two blocks of a bucket (or inside
+    one). A pair that also shares the bucket of an earlier band is left to that, where it is compared as well."""
+    node, root, weight, block = (table.column(c).to_numpy() for c in ("node", "root", "weight", "block"))
+    band = table.column("band")[0].as_py()
+    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u4").reshape(-1, SAMPLES)
+    probe = np.frombuffer(b"".join(table.column("probe").to_pylist()), np.uint8).reshape(-1, FINE_SAMPLES)
+    i, j = keys[1].as_py(), keys[2].as_py()
+    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    out: list[np.ndarray] = [np.zeros((2, 0), np.int64)]
+    step = max(1, CELLS_AT_ONCE // max(1, len(right)))
+    for k in range(0, len(left), step):
+        some = left[k : k + step]
+        open_ = root[some][:, None] != root[right][None, :]
+        if not open_.any():
+            continue
+        if i == j:
+            open_ &= node[some][:, None] < node[right][None, :]
+        w, v = weight[some][:, None], weight[right][None, :]
+        open_ &= np.minimum(w, v) >= LEAST_RATIO * np.maximum(w, v)
+        agree = np.zeros(open_.shape, np.uint8)
+        for first in range(0, SAMPLES, ROWS):
+            same = [sig[some, c][:, None] == sig[right, c][None, :] for c in range(first, first + ROWS)]
+            for x in same:
+                agree += x
+            if first < band * ROWS:
+                open_ &= ~np.logical_and.reduce(same)
+        a, b = np.nonzero(open_ & (agree >= LEAST_AGREE))
+        a, b = some[a], right[b]
+        for at in range(0, len(a), 4096):
+            x, y = a[at : at + 4096], b[at : at + 4096]
+            fit = (probe[x] == probe[y]).sum(axis=1) >= FINE_AGREE
+            out.append(np.sort(np.stack([node[x[fit]], node[y[fit]]]), axis=0))
+    a, b = np.concatenate(out, axis=1)
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def left_out(crowd: DataFrame, known: DataFrame, roots: DataFrame) -> DataFrame:
+    """a, b (a < b) of different classes whose samples agree often enough: all such pairs of the large buckets ``crowd``
+    (bucket, band, node, n). ``known``: node, sig, weight, probe; ``roots``: node, root of the classes so far."""
+    classed = crowd.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    classed = staged(classed, "classed")
+    mixed_ = classed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("bucket")
+    # Every block of a bucket meets every other, and itself, in a group of rows of its own.
+    placed = classed.join(mixed_, "bucket").withColumn("blocks", F.expr(f"cast(ceil(n / {float(BLOCK)}D) as int)"))
+    placed = placed.withColumn("block", F.expr("cast(pmod(xxhash64(node, bucket), blocks) as int)")).join(known.select("node", "sig", "weight", "probe"), "node")
+    placed = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    met = placed.select("bucket", "i", "j", "band", "block", "node", "root", "sig", "weight", "probe").groupBy("bucket", "i", "j").applyInArrow(agreeing_pairs, "a long, b long")
+    return staged(met, "left_out")
+
+
+def joined_classes(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` (node, root) after further ``links`` (a, b) between their classes, or between texts without one."""
+    ends = links.select("a", "b")
+    for end in "ab":
+        ends = ends.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
+    more = staged(components(ends.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))), "joined")
+    moved = roots.join(more.select(F.col("node").alias("root"), F.col("root").alias("new")), "root", "left").select("node", F.coalesce("new", "root").alias("root"))
+    return moved.unionByName(more.join(roots, "node", "left_anti"))
+
+
+def candidates(unique: DataFrame, texts, idf: Frequencies) -> tuple[DataFrame, DataFrame, DataFrame | None, DataFrame]:
+    """(a, b) whose samples agree often enough, and the texts (node, text) of all that share a bucket; the members
+    (bucket, band, node, n) of large buckets, not all of whose pairs are among these, None without any; what is known of
+    all that share a bucket. ``unique``: node, sig, weight, ...; ``texts``: from nodes to their texts."""
+    keys = F.posexplode(F.expr(f"transform(sequence(0, {BANDS - 1}), k -> xxhash64(k, substring(sig, {4 * ROWS} * k + 1, {4 * ROWS})))"))
+    small, large = met_in(unique.filter("sig is not null").select("node", keys.alias("band", "bucket")), "coarse")
+    crowd = large.select("bucket", "band", "node", "n")
     shared = staged(texts(small.select("node").unionByName(large.select("node")).distinct()), "candidate_texts")
     compared, led, fine = small.select("bucket", "node"), None, None
     crowded = staged(large.select("node").distinct(), "crowded")
@@ -377,7 +446,8 @@ def candidates(unique: DataFrame, texts, idf: Frequencies) -> tuple[DataFrame, D
     left, right = (known.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("sig", "weight", "probe"))) for x in "ab")
     able = F.least("weight_a", "weight_b") >= LEAST_RATIO * F.greatest("weight_a", "weight_b")
     fits = F.expr(f"if(probe_a is null or probe_b is null, {agreeing('sig_a', 'sig_b', SAMPLES, 4)} >= {LEAST_AGREE}, {agreeing('probe_a', 'probe_b', FINE_SAMPLES, 1)} >= {FINE_AGREE})")
-    return staged(pairs.distinct().join(left, "a").join(right, "b").filter(able).filter(fits).select("a", "b"), "pairs"), shared
+    pairs = staged(pairs.distinct().join(left, "a").join(right, "b").filter(able).filter(fits).select("a", "b"), "pairs")
+    return pairs, shared, None if fine is None else crowd, known
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -398,8 +468,13 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             unnamed = rows.filter("doc_id is null").groupBy("content").agg(F.first("text").alias("text")).join(wanted.filter("doc_id is null").select("node", "content"), "content").select("node", "text")
             return named.unionByName(unnamed)
 
-        pairs, shared = candidates(unique, texts, idf)
+        pairs, shared, crowd, known = candidates(unique, texts, idf)
         roots = components(verified(pairs, shared, idf).select("a", "b"))
+        if crowd is not None:
+            roots = staged(roots, "roots")
+            more = left_out(crowd, known, roots)
+            if not more.isEmpty() and not (links := verified(more, shared, idf)).isEmpty():
+                roots = joined_classes(roots, links)
         classes = unique.select("content", "doc_id", "node").join(roots, "node", "left")
         heads = classes.filter("root is not null").groupBy("root").agg(F.min(first_of("doc_id", "content")).alias("head"))
         linked = classes.filter("root is not null").join(heads, "root").select("content", F.col("head.id").alias("class_id"), F.col("head.content").alias("class_content"))

@@ -243,6 +243,49 @@ def test_components_match_union_find(spark):
     assert minhash.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_large_buckets_lose_no_link(spark, monkeypatch):
+    """With every bucket a large one and one leader in each, links of 0.8 that leaders and long keys miss are found."""
+    monkeypatch.setattr(minhash, "SMALL", 1)
+    monkeypatch.setattr(minhash, "LEADERS", 1)
+    monkeypatch.setattr(minhash, "BLOCK", 2)
+    rows = []
+    for k in range(200):
+        base = [f"w{k}x{j}" for j in range(100)]
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join([*base[:90], *(f"v{k}x{j}" for j in range(10))]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    idf = minhash.inverse_frequency(docs, "text")
+    want = plain.near_classes([t for _, t in rows], idf)
+    assert len(set(want)) < 300
+    got = {r.doc_id: r.class_id for r in minhash.near_classes(docs).collect()}
+    assert [got[k] for k in range(len(rows))] == want
+
+
+def test_left_out_pairs_between_classes(spark):
+    """All pairs of different classes whose samples agree, between the blocks of a bucket; each once."""
+    rng = np.random.default_rng(5)
+    n, rows = 1300, []
+    sig, probe = np.tile(rng.integers(0, 1 << 32, minhash.SAMPLES, dtype=np.uint32), (n, 1)), np.tile(rng.integers(0, 256, minhash.FINE_SAMPLES).astype(np.uint8), (n, 1))
+    for k in range(n):
+        other = rng.random(minhash.SAMPLES) < 0.3
+        other[:3] = False  # all share the first band's bucket
+        sig[k, other] = rng.integers(0, 1 << 32, other.sum(), dtype=np.uint32)
+        other = rng.random(minhash.FINE_SAMPLES) < 0.16
+        probe[k, other] = rng.integers(0, 256, other.sum())
+        rows.append((k, sig[k].astype("<u4").tobytes(), float(100 + k % 40), probe[k].tobytes()))
+    known = spark.createDataFrame(rows, "node long, sig binary, weight double, probe binary")
+    crowd = spark.createDataFrame([(7, 0, k, n) for k in range(n)] + [(8, 1, k, n) for k in range(n) if (sig[k, 3:6] == sig[0, 3:6]).all()], "bucket long, band int, node long, n long")
+    roots = spark.createDataFrame([(k, k % 3) for k in range(n) if k % 3 or k < 900], "node long, root long")
+    root = [k % 3 if k % 3 or k < 900 else k for k in range(n)]
+    want = set()
+    for k in range(n):
+        agree = ((sig[k] == sig[k + 1 :]).sum(axis=1) >= minhash.LEAST_AGREE) & ((probe[k] == probe[k + 1 :]).sum(axis=1) >= minhash.FINE_AGREE)
+        want |= {(k, int(b)) for b in np.flatnonzero(agree) + k + 1 if root[k] != root[b] and min(rows[k][2], rows[b][2]) >= minhash.LEAST_RATIO * max(rows[k][2], rows[b][2])}
+    found = [(r.a, r.b) for r in minhash.left_out(crowd, known, roots).collect()]
+    assert len(found) == len(set(found)) and set(found) == want and len(want) > 100
+    moved = {r.node: r.root for r in minhash.joined_classes(roots, spark.createDataFrame([(4, 5), (990, 1299), (1299, 6)], "a long, b long")).collect()}
+    assert moved == {k: (0 if k % 3 == 0 else 1) for k in range(n) if k % 3 or k < 900} | {990: 0, 1299: 0}
+
+
 def test_frequencies_near_exact(spark):
     """Weights by the sketch against those by exact counts, at two sizes."""
     for n in (500, 4000):
