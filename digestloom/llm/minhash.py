@@ -11,8 +11,8 @@ compared in full. In a large one all members are compared with ``LEADERS`` centr
 the samples of the next bands (two, four, eight ... bands long) until its parts are small. So the number of these pairs
 is linear in the number of texts, whatever the size of a group. They make the first links and classes. What they leave
 out is settled after that: in each large bucket of the first bands whose members are not all of one class, every pair of
-members of different classes is compared by its samples, block against block, and verified like any other if enough
-agree. So a large bucket drops nothing that could change a class; pairs inside a class would only confirm it. The work
+members of different classes is compared by its samples, block against block, and verified there by the same measure if
+enough agree. So a large bucket drops nothing that could change a class; pairs inside a class would only confirm it. The work
 of this grows with (members outside the bucket's largest class) * members, in the worst case with their square.
 
 Defined results: a null text is empty; all texts without words are one class; a text of fewer than five words is one
@@ -45,8 +45,9 @@ FINE_BANDS, FINE_ROWS = 30, 10
 FINE_SAMPLES, FINE_AGREE = FINE_BANDS * FINE_ROWS, 210
 #: Buckets of at most SMALL members are compared in full, larger ones with LEADERS of their members, then split.
 SMALL, LEADERS = 24, 4
-#: Members of a large bucket that are compared with as many others in one group of rows; pairs compared at a time.
-BLOCK, CELLS_AT_ONCE = 512, 1 << 18
+#: Members of a large bucket that are compared with as many others in one group of rows, and their total weight (so that
+#: a block of long texts has fewer); pairs compared at a time.
+BLOCK, BLOCK_WEIGHT, CELLS_AT_ONCE = 256, 2_000_000, 1 << 18
 #: Pairs whose total weights differ by more cannot be similar: the similarity is at most the lesser over the greater.
 LEAST_RATIO = SIMILAR * (1 - 1e-6)
 #: Document frequencies: TABLES sketches of CELLS cells, sent in CHUNKS pieces.
@@ -282,12 +283,9 @@ def verified(pairs: DataFrame, texts: DataFrame, idf: Frequencies) -> DataFrame:
             for a, b, x, y in zip(ids_a, ids_b, texts_a, texts_b):
                 if last[0] != a:
                     last = (a, bag(shingler.hashes(x), weights))
-                (h, v), (g, w) = last[1], bag(shingler.hashes(y), weights)
-                _, i, j = np.intersect1d(h, g, assume_unique=True, return_indices=True)
-                common = float(np.minimum(v[i], w[j]).sum(dtype=np.float64))
-                whole = float(v.sum(dtype=np.float64) + w.sum(dtype=np.float64)) - common
-                if whole and common / whole >= SIMILAR:
-                    for column, value in zip(out, (a, b, common / whole)):
+                found = similarity(last[1], bag(shingler.hashes(y), weights))
+                if found >= SIMILAR:
+                    for column, value in zip(out, (a, b, found)):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], ["a", "b", "similarity"])
 
@@ -348,26 +346,21 @@ def met_in(keyed: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     return members.filter(F.col("n") <= SMALL), members.filter(F.col("n") > SMALL)
 
 
-def agreeing_pairs(keys: tuple, table: pa.Table) -> pa.Table:
-    """a, b (a < b) of different classes whose samples agree often enough, between two blocks of a bucket (or inside
-    one). A pair that also shares the bucket of an earlier band is left to that, where it is compared as well."""
-    node, root, weight, block = (table.column(c).to_numpy() for c in ("node", "root", "weight", "block"))
-    band = table.column("band")[0].as_py()
-    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u4").reshape(-1, SAMPLES)
-    probe = np.frombuffer(b"".join(table.column("probe").to_pylist()), np.uint8).reshape(-1, FINE_SAMPLES)
-    i, j = keys[1].as_py(), keys[2].as_py()
+def agreeing_pairs(band: int, i: int, j: int, block: np.ndarray, node: np.ndarray, root: np.ndarray, weight: np.ndarray, sig: np.ndarray, probe: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Places (x, y) of members of different classes whose samples agree often enough, between blocks ``i`` and ``j`` of
+    a bucket (or inside one). A pair that also shares the bucket of an earlier band is left to that, where it is
+    compared as well."""
     left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-    out: list[np.ndarray] = [np.zeros((2, 0), np.int64)]
     step = max(1, CELLS_AT_ONCE // max(1, len(right)))
     for k in range(0, len(left), step):
         some = left[k : k + step]
         open_ = root[some][:, None] != root[right][None, :]
-        if not open_.any():
-            continue
         if i == j:
             open_ &= node[some][:, None] < node[right][None, :]
         w, v = weight[some][:, None], weight[right][None, :]
         open_ &= np.minimum(w, v) >= LEAST_RATIO * np.maximum(w, v)
+        if not open_.any():
+            continue
         agree = np.zeros(open_.shape, np.uint8)
         for first in range(0, SAMPLES, ROWS):
             same = [sig[some, c][:, None] == sig[right, c][None, :] for c in range(first, first + ROWS)]
@@ -380,23 +373,57 @@ def agreeing_pairs(keys: tuple, table: pa.Table) -> pa.Table:
         for at in range(0, len(a), 4096):
             x, y = a[at : at + 4096], b[at : at + 4096]
             fit = (probe[x] == probe[y]).sum(axis=1) >= FINE_AGREE
-            out.append(np.sort(np.stack([node[x[fit]], node[y[fit]]]), axis=0))
-    a, b = np.concatenate(out, axis=1)
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-
-def left_out(crowd: DataFrame, known: DataFrame, roots: DataFrame) -> DataFrame:
-    """a, b (a < b) of different classes whose samples agree often enough: all such pairs of the large buckets ``crowd``
-    (bucket, band, node, n). ``known``: node, sig, weight, probe; ``roots``: node, root of the classes so far."""
-    classed = crowd.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    classed = staged(classed, "classed")
-    mixed_ = classed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("bucket")
-    # Every block of a bucket meets every other, and itself, in a group of rows of its own.
-    placed = classed.join(mixed_, "bucket").withColumn("blocks", F.expr(f"cast(ceil(n / {float(BLOCK)}D) as int)"))
-    placed = placed.withColumn("block", F.expr("cast(pmod(xxhash64(node, bucket), blocks) as int)")).join(known.select("node", "sig", "weight", "probe"), "node")
-    placed = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    met = placed.select("bucket", "i", "j", "band", "block", "node", "root", "sig", "weight", "probe").groupBy("bucket", "i", "j").applyInArrow(agreeing_pairs, "a long, b long")
-    return staged(met, "left_out")
+            yield from zip(x[fit].tolist(), y[fit].tolist())
+
+
+def similarity(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> float:
+    """Weighted Jaccard similarity of two bags; 0 if both are empty."""
+    (h, v), (g, w) = x, y
+    _, i, j = np.intersect1d(h, g, assume_unique=True, return_indices=True)
+    common = float(np.minimum(v[i], w[j]).sum(dtype=np.float64))
+    whole = float(v.sum(dtype=np.float64) + w.sum(dtype=np.float64)) - common
+    return common / whole if whole else 0.0
+
+
+def left_out(crowd: DataFrame, known: DataFrame, texts: DataFrame, roots: DataFrame, idf: Frequencies) -> DataFrame:
+    """a, b: links that make one class of all that similar pairs between classes join in the large buckets ``crowd``
+    (bucket, band, node). All pairs of members of different classes are compared, but for those that links found in the
+    same two blocks have joined. ``known``: node, sig, weight, probe; ``texts``: node, text; ``roots``: node, root of
+    the classes so far."""
+    shared = crowd.sparkSession.sparkContext.broadcast(idf)
+
+    def compare(keys: tuple, table: pa.Table) -> pa.Table:
+        node, root, weight, block = (table.column(c).to_numpy() for c in ("node", "root", "weight", "block"))
+        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), "<u4").reshape(-1, SAMPLES)
+        probe = np.frombuffer(b"".join(table.column("probe").to_pylist()), np.uint8).reshape(-1, FINE_SAMPLES)
+        text, shingler, weights, bags, up, out = table.column("text"), Shingler(), shared.value, {}, {}, [[], []]
+
+        def bag_of(x: int) -> tuple[np.ndarray, np.ndarray]:
+            if x not in bags:
+                bags[x] = bag(shingler.hashes(text[x].as_py()), weights)
+            return bags[x]
+
+        def top(x: int) -> int:
+            while x in up:
+                x = up[x]
+            return x
+
+        for x, y in agreeing_pairs(table.column("band")[0].as_py(), keys[1].as_py(), keys[2].as_py(), block, node, root, weight, sig, probe):
+            r, q = top(int(root[x])), top(int(root[y]))
+            if r != q and similarity(bag_of(x), bag_of(y)) >= SIMILAR:
+                up[max(r, q)] = min(r, q)
+                out[0].append(int(node[x]))
+                out[1].append(int(node[y]))
+        return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
+
+    classed = staged(crowd.select("bucket", "band", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).join(known.select("node", "weight"), "node"), "classed")
+    # Every block of a bucket that has more than one class meets every other, and itself, in a group of rows of its own.
+    several = classed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w")).filter("low <> high")
+    several = several.select("bucket", F.expr(f"cast(ceil(greatest(n / {float(BLOCK)}D, w / {float(BLOCK_WEIGHT)}D)) as int)").alias("blocks"))
+    placed = classed.join(several, "bucket").withColumn("block", F.expr("cast(pmod(xxhash64(node, bucket), blocks) as int)"))
+    placed = placed.join(known.select("node", "sig", "probe"), "node").join(texts, "node").withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    placed = placed.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "band", "block", "node", "root", "sig", "weight", "probe", "text")
+    return staged(placed.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long"), "left_out")
 
 
 def joined_classes(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -411,11 +438,11 @@ def joined_classes(roots: DataFrame, links: DataFrame) -> DataFrame:
 
 def candidates(unique: DataFrame, texts, idf: Frequencies) -> tuple[DataFrame, DataFrame, DataFrame | None, DataFrame]:
     """(a, b) whose samples agree often enough, and the texts (node, text) of all that share a bucket; the members
-    (bucket, band, node, n) of large buckets, not all of whose pairs are among these, None without any; what is known of
+    (bucket, band, node) of large buckets, not all of whose pairs are among these, None without any; what is known of
     all that share a bucket. ``unique``: node, sig, weight, ...; ``texts``: from nodes to their texts."""
     keys = F.posexplode(F.expr(f"transform(sequence(0, {BANDS - 1}), k -> xxhash64(k, substring(sig, {4 * ROWS} * k + 1, {4 * ROWS})))"))
     small, large = met_in(unique.filter("sig is not null").select("node", keys.alias("band", "bucket")), "coarse")
-    crowd = large.select("bucket", "band", "node", "n")
+    crowd = large.select("bucket", "band", "node")
     shared = staged(texts(small.select("node").unionByName(large.select("node")).distinct()), "candidate_texts")
     compared, led, fine = small.select("bucket", "node"), None, None
     crowded = staged(large.select("node").distinct(), "crowded")
@@ -472,8 +499,8 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         roots = components(verified(pairs, shared, idf).select("a", "b"))
         if crowd is not None:
             roots = staged(roots, "roots")
-            more = left_out(crowd, known, roots)
-            if not more.isEmpty() and not (links := verified(more, shared, idf)).isEmpty():
+            links = left_out(crowd, known, shared, roots, idf)
+            if not links.isEmpty():
                 roots = joined_classes(roots, links)
         classes = unique.select("content", "doc_id", "node").join(roots, "node", "left")
         heads = classes.filter("root is not null").groupBy("root").agg(F.min(first_of("doc_id", "content")).alias("head"))

@@ -261,7 +261,7 @@ def test_large_buckets_lose_no_link(spark, monkeypatch):
 
 
 def test_left_out_pairs_between_classes(spark):
-    """All pairs of different classes whose samples agree, between the blocks of a bucket; each once."""
+    """Pairs of different classes whose samples agree, between all blocks of a bucket, join their classes."""
     rng = np.random.default_rng(5)
     n, rows = 1300, []
     sig, probe = np.tile(rng.integers(0, 1 << 32, minhash.SAMPLES, dtype=np.uint32), (n, 1)), np.tile(rng.integers(0, 256, minhash.FINE_SAMPLES).astype(np.uint8), (n, 1))
@@ -273,17 +273,33 @@ def test_left_out_pairs_between_classes(spark):
         probe[k, other] = rng.integers(0, 256, other.sum())
         rows.append((k, sig[k].astype("<u4").tobytes(), float(100 + k % 40), probe[k].tobytes()))
     known = spark.createDataFrame(rows, "node long, sig binary, weight double, probe binary")
-    crowd = spark.createDataFrame([(7, 0, k, n) for k in range(n)] + [(8, 1, k, n) for k in range(n) if (sig[k, 3:6] == sig[0, 3:6]).all()], "bucket long, band int, node long, n long")
-    roots = spark.createDataFrame([(k, k % 3) for k in range(n) if k % 3 or k < 900], "node long, root long")
-    root = [k % 3 if k % 3 or k < 900 else k for k in range(n)]
-    want = set()
+    kind = rng.integers(0, 600, n).tolist()  # those of one kind have one text, others no shingle in common
+    texts = spark.createDataFrame([(k, " ".join(f"w{kind[k]}x{j}" for j in range(20))) for k in range(n)], "node long, text string")
+    crowd = spark.createDataFrame([(7, 0, k) for k in range(n)] + [(8, 1, k) for k in range(n) if (sig[k, 3:6] == sig[0, 3:6]).all()], "bucket long, band int, node long")
+    root = [k - k % 4 for k in range(n)]  # classes of four; those beyond 900 have no row
+    roots = spark.createDataFrame([(k, root[k]) for k in range(900)], "node long, root long")
+    root[900:] = range(900, n)
+    up = list(range(n))
+
+    def top(k):
+        while up[k] != k:
+            k = up[k]
+        return k
+
+    met = set()
     for k in range(n):
         agree = ((sig[k] == sig[k + 1 :]).sum(axis=1) >= minhash.LEAST_AGREE) & ((probe[k] == probe[k + 1 :]).sum(axis=1) >= minhash.FINE_AGREE)
-        want |= {(k, int(b)) for b in np.flatnonzero(agree) + k + 1 if root[k] != root[b] and min(rows[k][2], rows[b][2]) >= minhash.LEAST_RATIO * max(rows[k][2], rows[b][2])}
-    found = [(r.a, r.b) for r in minhash.left_out(crowd, known, roots).collect()]
-    assert len(found) == len(set(found)) and set(found) == want and len(want) > 100
-    moved = {r.node: r.root for r in minhash.joined_classes(roots, spark.createDataFrame([(4, 5), (990, 1299), (1299, 6)], "a long, b long")).collect()}
-    assert moved == {k: (0 if k % 3 == 0 else 1) for k in range(n) if k % 3 or k < 900} | {990: 0, 1299: 0}
+        for b in (np.flatnonzero(agree) + k + 1).tolist():
+            if root[k] != root[b] and kind[k] == kind[b] and min(rows[k][2], rows[b][2]) >= minhash.LEAST_RATIO * max(rows[k][2], rows[b][2]):
+                met.add((k, b))
+                x, y = top(root[k]), top(root[b])
+                up[max(x, y)] = min(x, y)
+    idf = minhash.Frequencies(np.zeros((minhash.TABLES, minhash.CELLS)), 0)
+    links = minhash.left_out(crowd, known, texts, roots, idf)
+    assert len(met) > 50 and {tuple(sorted((r.a, r.b))) for r in links.collect()} <= met
+    moved = {r.node: r.root for r in minhash.joined_classes(roots, links).collect()}
+    want = [top(root[k]) for k in range(n)]
+    assert {k: moved.get(k, k) for k in range(n)} == dict(enumerate(want)) and len(set(want)) < len(set(root))
 
 
 def test_frequencies_near_exact(spark):
