@@ -83,3 +83,16 @@ def test_run(spark, sf_dir):
     for r in packed.collect():
         by[r.doc_id].add(r.doc_tokens)
     assert by and set(by) <= set(docs) and all(len(x) == 1 for x in by.values()) and len({docs[k] for k in by}) == len(by)
+
+
+def test_near_copies_lose_no_link_in_large_buckets(spark, monkeypatch):
+    """With every bucket a large one and one leader in each, of each class one row stays, as by brute force."""
+    monkeypatch.setattr(minhash, "SMALL", 1)
+    monkeypatch.setattr(minhash, "LEADERS", 1)
+    rows = []
+    for k in range(200):
+        base = [f"w{k}x{j}" for j in range(100)]
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join([*base[:90], *(f"v{k}x{j}" for j in range(10))]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = plain.without_near_copies(rows, minhash.inverse_frequency(docs, "text"))
+    assert sorted(r.doc_id for r in corpus_pipeline.near_copies(spark, docs, "").collect()) == sorted(r[0] for r in want)
