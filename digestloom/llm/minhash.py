@@ -12,8 +12,9 @@ the samples of the next bands (two, four, eight ... bands long) until its parts
 is linear in the number of texts, whatever the size of a group. They make the first links and classes. What they leave
 out is settled after that: in each large bucket of the first bands whose members are not all of one class, every pair of
 members of different classes is compared by its samples, block against block, and verified there by the same measure if
-enough agree. So a large bucket drops nothing that could change a class; pairs inside a class would only confirm it. The work
-of this grows with (members outside the bucket's largest class) * members, in the worst case with their square.
+enough agree. So a large bucket drops nothing that could change a class; pairs inside a class would only confirm it. Both
+the comparisons and the rows that travel for them grow with (members outside the bucket's largest class) * members, in
+the worst case with their square; the rows are fewer by a factor of BLOCK.
 
 Defined results: a null text is empty; all texts without words are one class; a text of fewer than five words is one
 shingle; a text's class is the least doc_id linked with it; repeated rows share a class; other columns are ignored.
@@ -47,7 +48,9 @@ FINE_SAMPLES, FINE_AGREE = FINE_BANDS * FINE_ROWS, 210
 SMALL, LEADERS = 24, 4
 #: Members of a large bucket that are compared with as many others in one group of rows, and their total weight (so that
 #: a block of long texts has fewer); pairs compared at a time.
-BLOCK, BLOCK_WEIGHT, CELLS_AT_ONCE = 256, 2_000_000, 1 << 18
+BLOCK, BLOCK_WEIGHT, CELLS_AT_ONCE = 2048, 2_000_000, 1 << 18
+#: Members of a bucket that meet its leaders in one task, about.
+DEALT = 1024
 #: Pairs whose total weights differ by more cannot be similar: the similarity is at most the lesser over the greater.
 LEAST_RATIO = SIMILAR * (1 - 1e-6)
 #: Document frequencies: TABLES sketches of CELLS cells, sent in CHUNKS pieces.
@@ -329,12 +332,15 @@ def small_pairs(members: DataFrame) -> DataFrame:
 
 
 def leader_pairs(members: DataFrame) -> DataFrame:
-    """a, b (a < b): all members of the buckets of ``members`` (bucket, node, met) with the bucket's leaders, the
-    members of greatest ``met`` in each of LEADERS places that members are dealt to by hash."""
+    """a, b (a < b): all members of the buckets of ``members`` (bucket, node, n, met) with the bucket's leaders, the
+    members of greatest ``met`` in each of LEADERS places that members are dealt to by hash. A bucket's members meet
+    them in parts, so that no bucket is one task's."""
     place = F.pmod(F.xxhash64("node", F.lit(LEADERS)), F.lit(LEADERS))
-    leaders = members.groupBy("bucket", place.alias("place")).agg(F.min(F.struct((-F.col("met")).alias("m"), F.xxhash64("node").alias("h"), F.col("node").alias("leader"))).alias("l"))
-    lists = leaders.groupBy("bucket").agg(F.collect_list("l.leader").alias("leaders"))  # LEADERS at most
-    met = members.join(lists, "bucket").select("node", F.explode(F.filter("leaders", lambda x: x != F.col("node"))).alias("leader"))
+    leaders = members.groupBy("bucket", place.alias("place")).agg(F.min(F.struct((-F.col("met")).alias("m"), F.xxhash64("node").alias("h"), F.col("node").alias("leader"))).alias("l"), F.max("n").alias("n"))
+    lists = leaders.groupBy("bucket").agg(F.collect_list("l.leader").alias("leaders"), F.max("n").alias("n"))  # LEADERS at most
+    lists = lists.select("bucket", "leaders", F.explode(F.expr(f"sequence(0L, n div {DEALT})")).alias("part"))
+    met = members.withColumn("part", F.expr(f"pmod(xxhash64(node, bucket), n div {DEALT} + 1)")).join(lists, ["bucket", "part"])
+    met = met.select("node", F.explode(F.filter("leaders", lambda x: x != F.col("node"))).alias("leader"))
     return met.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
 
 
@@ -385,6 +391,19 @@ def similarity(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray
     return common / whole if whole else 0.0
 
 
+def in_blocks(classed: DataFrame) -> DataFrame:
+    """Rows (bucket, i, j, block, ...) of ``classed`` (bucket, node, root, weight, ...): each block of members outside
+    the bucket's largest class (the first blocks) meets every block, and itself, in a group (i, j) of rows of its own.
+    Blocks of the largest class, whose members are one class already, don't meet; buckets of one class go."""
+    classes = classed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w"))
+    sums = classes.groupBy("bucket").agg(F.max(F.struct("n", "root", "w")).alias("most"), F.sum("n").alias("n"), F.sum("w").alias("w")).filter("n > most.n")
+    blocks = "cast(ceil(greatest({n} / %sD, {w} / %sD)) as int)" % (float(BLOCK), float(BLOCK_WEIGHT))
+    sums = sums.select("bucket", F.col("most.root").alias("largest"), F.expr(blocks.format(n="(n - most.n)", w="(w - most.w)")).alias("n_out"), F.expr(blocks.format(n="most.n", w="most.w")).alias("n_in"))
+    placed = classed.join(sums, "bucket").withColumn("block", F.expr("cast(if(root = largest, n_out + pmod(xxhash64(node, bucket), n_in), pmod(xxhash64(node, bucket), n_out)) as int)"))
+    placed = placed.withColumn("other", F.explode(F.expr("sequence(0, if(root = largest, n_out, n_out + n_in) - 1)")))
+    return placed.select(*classed.columns, "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+
+
 def left_out(crowd: DataFrame, known: DataFrame, texts: DataFrame, roots: DataFrame, idf: Frequencies) -> DataFrame:
     """a, b: links that make one class of all that similar pairs between classes join in the large buckets ``crowd``
     (bucket, band, node). All pairs of members of different classes are compared, but for those that links found in the
@@ -417,12 +436,8 @@ def left_out(crowd: DataFrame, known: DataFrame, texts: DataFrame, roots: DataFr
         return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
 
     classed = staged(crowd.select("bucket", "band", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).join(known.select("node", "weight"), "node"), "classed")
-    # Every block of a bucket that has more than one class meets every other, and itself, in a group of rows of its own.
-    several = classed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w")).filter("low <> high")
-    several = several.select("bucket", F.expr(f"cast(ceil(greatest(n / {float(BLOCK)}D, w / {float(BLOCK_WEIGHT)}D)) as int)").alias("blocks"))
-    placed = classed.join(several, "bucket").withColumn("block", F.expr("cast(pmod(xxhash64(node, bucket), blocks) as int)"))
-    placed = placed.join(known.select("node", "sig", "probe"), "node").join(texts, "node").withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    placed = placed.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "band", "block", "node", "root", "sig", "weight", "probe", "text")
+    placed = in_blocks(classed).join(known.select("node", "sig", "probe"), "node").join(texts, "node")
+    placed = placed.select("bucket", "i", "j", "band", "block", "node", "root", "sig", "weight", "probe", "text")
     return staged(placed.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long"), "left_out")
 
 
@@ -457,7 +472,7 @@ def candidates(unique: DataFrame, texts, idf: Frequencies) -> tuple[DataFrame, D
                 central = staged(small.unionByName(large).groupBy("node").agg(F.sum("n").alias("met")), "central")
             if large.isEmpty():
                 break
-            led = large.select("bucket", "node") if led is None else led.unionByName(large.select("bucket", "node"))
+            led = large.select("bucket", "node", "n") if led is None else led.unionByName(large.select("bucket", "node", "n"))
             if width == FINE_BANDS:
                 break
             width = min(2 * width, FINE_BANDS)

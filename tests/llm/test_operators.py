@@ -302,6 +302,39 @@ def test_left_out_pairs_between_classes(spark):
     assert {k: moved.get(k, k) for k in range(n)} == dict(enumerate(want)) and len(set(want)) < len(set(root))
 
 
+def test_blocks_of_the_largest_class_do_not_meet(spark, monkeypatch):
+    """Each pair of different classes in a bucket meets in one group of rows; the rows follow members outside * members."""
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    rng = random.Random(9)
+    rows = [(1, k, 1000 if k < 600 else k // 2) for k in range(610)]  # ten of 610 outside: one block of them
+    rows += [(2, k, rng.randrange(9)) for k in range(100)] + [(3, k, 5) for k in range(40)] + [(4, k, k) for k in range(50)]
+    out = minhash.in_blocks(spark.createDataFrame([(*r, 3.0) for r in rows], "bucket long, node long, root long, weight double")).collect()
+    groups = {}
+    for r in out:
+        assert r.block in (r.i, r.j) and r.i <= r.j
+        groups.setdefault((r.bucket, r.i, r.j), []).append(r)
+    met = Counter()
+    for (bucket, i, j), g in groups.items():
+        for a in g:
+            for b in g:
+                if a.block == i and b.block == j and a.root != b.root and (i < j or a.node < b.node):
+                    met[bucket, min(a.node, b.node), max(a.node, b.node)] += 1
+    assert met == Counter((x, a, b) for x, a, r in rows for y, b, q in rows if x == y and a < b and r != q)
+    assert sum(r.bucket == 1 for r in out) < 2 * 610 and not any(r.bucket == 3 for r in out)
+
+
+def test_leaders_meet_all_members_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "DEALT", 8)
+    sizes = {1: 100, 2: 30, 3: 2}
+    members = spark.createDataFrame([(x, 1000 * x + k, n, k % 7) for x, n in sizes.items() for k in range(n)], "bucket long, node long, n long, met long")
+    pairs = Counter((r.a, r.b) for r in minhash.leader_pairs(members).collect())
+    for x, n in sizes.items():
+        mine = {p: c for p, c in pairs.items() if p[0] // 1000 == x}
+        leaders = [k for k in range(1000 * x, 1000 * x + n) if sum(k in p for p in mine) == n - 1]
+        assert 1 <= len(leaders) <= minhash.LEADERS or n == 2
+        assert mine == {(min(k, y), max(k, y)): 1 + (y in leaders) for k in leaders for y in range(1000 * x, 1000 * x + n) if y != k}
+
+
 def test_frequencies_near_exact(spark):
     """Weights by the sketch against those by exact counts, at two sizes."""
     for n in (500, 4000):
