@@ -352,6 +352,15 @@ def met_in(keyed: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     return members.filter(F.col("n") <= SMALL), members.filter(F.col("n") > SMALL)
 
 
+def with_nodes(rows: DataFrame, *known: DataFrame) -> DataFrame:
+    """``rows`` (node, ...) with the columns of ``known`` (node, ...; one row for each node). A node's rows meet these as
+    one list, so that a join makes one row for each node, however many rows a node has."""
+    met = rows.groupBy("node").agg(F.collect_list(F.struct(*(c for c in rows.columns if c != "node"))).alias("rows"))
+    for more in known:
+        met = met.join(more, "node")
+    return met.withColumn("row", F.explode("rows")).drop("rows").select(*(c for c in met.columns if c != "rows"), "row.*")
+
+
 def agreeing_pairs(band: int, i: int, j: int, block: np.ndarray, node: np.ndarray, root: np.ndarray, weight: np.ndarray, sig: np.ndarray, probe: np.ndarray) -> Iterator[tuple[int, int]]:
     """Places (x, y) of members of different classes whose samples agree often enough, between blocks ``i`` and ``j`` of
     a bucket (or inside one). A pair that also shares the bucket of an earlier band is left to that, where it is
@@ -435,8 +444,9 @@ def left_out(crowd: DataFrame, known: DataFrame, texts: DataFrame, roots: DataFr
                 out[1].append(int(node[y]))
         return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
 
-    classed = staged(crowd.select("bucket", "band", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).join(known.select("node", "weight"), "node"), "classed")
-    placed = in_blocks(classed).join(known.select("node", "sig", "probe"), "node").join(texts, "node")
+    weights = known.select("node", "weight").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    classed = staged(with_nodes(crowd.select("bucket", "band", "node"), weights), "classed")
+    placed = with_nodes(in_blocks(classed), known.select("node", "sig", "probe"), texts)
     placed = placed.select("bucket", "i", "j", "band", "block", "node", "root", "sig", "weight", "probe", "text")
     return staged(placed.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long"), "left_out")
 
@@ -477,10 +487,10 @@ def candidates(unique: DataFrame, texts, idf: Frequencies) -> tuple[DataFrame, D
                 break
             width = min(2 * width, FINE_BANDS)
             deeper = ", ".join(f"keys[(band + {j}) % {FINE_BANDS}]" for j in range(width))
-            open_members = large.select("node", "band").join(fine.select("node", "keys"), "node").select("node", "band", F.expr(f"xxhash64({width}, band, {deeper})").alias("bucket"))
+            open_members = with_nodes(large.select("node", "band"), fine.select("node", "keys")).select("node", "band", F.expr(f"xxhash64({width}, band, {deeper})").alias("bucket"))
     pairs = small_pairs(compared)
     if led is not None:
-        pairs = pairs.unionByName(leader_pairs(led.join(central, "node")))
+        pairs = pairs.unionByName(leader_pairs(with_nodes(led, central)))
     known = unique.select("node", "sig", "weight") if fine is None else unique.select("node", "sig", "weight").join(fine.select("node", "probe"), "node", "left")
     known = staged(known.join(shared.select("node"), "node"), "known")
     if fine is None:

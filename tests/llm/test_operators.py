@@ -323,6 +323,37 @@ def test_blocks_of_the_largest_class_do_not_meet(spark, monkeypatch):
     assert sum(r.bucket == 1 for r in out) < 2 * 610 and not any(r.bucket == 3 for r in out)
 
 
+def joined_rows(spark, run) -> int:
+    """How many rows all joins have made in what ``run`` has executed."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    before, made = store.executionsCount(), 0
+    run()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    done = store.executionsList()
+    for k in range(before, done.size()):
+        at = done.apply(k).executionId()
+        nodes, values = store.planGraph(at).allNodes(), store.executionMetrics(at)
+        for node in (nodes.apply(j) for j in range(nodes.size())):
+            if "Join" in node.name():
+                found = (node.metrics().apply(j) for j in range(node.metrics().size()))
+                made += sum(int(values.apply(m.accumulatorId()).replace(",", "")) for m in found if m.name() == "number of output rows" and values.contains(m.accumulatorId()))
+    return made
+
+
+def test_blocks_meet_samples_and_texts_once_a_node(spark, monkeypatch):
+    """However many blocks a member meets, joins make a row for each node or membership; the links are all found."""
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    n = 120
+    known = spark.createDataFrame([(k, b"\1" * 4 * minhash.SAMPLES, 5.0, b"\1" * minhash.FINE_SAMPLES) for k in range(n)], "node long, sig binary, weight double, probe binary")
+    texts = spark.createDataFrame([(k, " ".join(f"w{k % 60}x{j}" for j in range(8))) for k in range(n)], "node long, text string")
+    crowd, roots = spark.createDataFrame([(7, 0, k) for k in range(n)], "bucket long, band int, node long"), spark.createDataFrame([], "node long, root long")
+    idf, links = minhash.Frequencies(np.zeros((minhash.TABLES, minhash.CELLS)), 0), []
+    made = joined_rows(spark, lambda: links.extend(minhash.left_out(crowd, known, texts, roots, idf).collect()))
+    assert {tuple(sorted((r.a, r.b))) for r in links} == {(k, k + 60) for k in range(60)}
+    assert 0 < made <= 6 * n  # 30 blocks of 4: a row for each block a member meets would be 30 * n in each join
+
+
 def test_leaders_meet_all_members_in_parts(spark, monkeypatch):
     monkeypatch.setattr(minhash, "DEALT", 8)
     sizes = {1: 100, 2: 30, 3: 2}
