@@ -17,12 +17,13 @@ rows are judged alike; other columns are carried along untouched.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from digestloom.llm.common import BLANKS, WORD, staged
+from digestloom.llm.common import WORD, staged
 
 SYMBOLS = "#*$%&|<>"
+UPPER = r"A-Z\u00C0-\u00D6\u00D8-\u00DE"
 WINDOW = 5
 ROUNDS = 40
 #: (right votes, wrong votes) that each rule is imagined to have cast on good and on bad texts, and (good, bad) texts:
@@ -49,22 +50,21 @@ RULES = {
 SIGNALS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper", "n_marks", "n_distinct", "n_stutter", "n_single", "n_signed"]
 
 
-def without(chars: str) -> str:
-    """SQL: the text's code points that are not in ``chars``."""
-    quoted = "".join(f"\\u{ord(c):04x}" for c in chars)
-    return f"length(translate(_text, '{quoted}', ''))"
+def n_of(chars: str) -> Column:
+    """How many of the text's code points are in the class ``chars``. Runs of them are cut out by a pattern, which makes
+    an object for each run; translate makes one for each character of the text."""
+    return (F.length("_text") - F.length(F.regexp_replace("_text", f"[{chars}]+", ""))).cast("long")
 
 
 def signals(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with the counts of SIGNALS, taken from whole texts."""
     names = docs.columns
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ" + "".join(chr(c) for c in range(0xC0, 0xDF) if c != 0xD7)
     d = docs.withColumn("_text", F.coalesce(F.col(text_col), F.lit("")))
     d = d.withColumn("_words", F.regexp_extract_all("_text", F.lit(WORD), F.lit(0)))
-    d = d.withColumn("_lines", F.filter(F.split("_text", "\n", -1), lambda x: F.length(F.translate(x, BLANKS, "")) > 0))
+    d = d.withColumn("_lines", F.filter(F.split("_text", "\n", -1), lambda x: F.regexp_like(x, F.lit(WORD))))
     d = d.withColumns({
         "n_words": F.size("_words").cast("long"),
-        "_chars": F.length("_text"),
+        "_symbols": n_of(SYMBOLS),
         "_hashes": F.expr(f"if(size(_words) < {WINDOW}, cast(array() as array<bigint>), transform(sequence(1, size(_words) - {WINDOW - 1}), i -> xxhash64(slice(_words, i, {WINDOW}))))"),
     })
     # Only texts in which some window recurs are sorted.
@@ -72,17 +72,17 @@ def signals(docs: DataFrame, text_col: str = "text") -> DataFrame:
     d = d.withColumn("_starts", F.expr("array_sort(transform(filter(_sorted, (x, i) -> get(_sorted, i - 1).h <=> x.h or get(_sorted, i + 1).h <=> x.h), x -> x.i))"))
     counts = F.struct(
         "n_words",
-        F.expr(f"cast({without(BLANKS)} as bigint)").alias("word_chars"),
-        F.expr(f"cast(_chars - {without(SYMBOLS)} as bigint)").alias("n_symbols"),
+        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        F.col("_symbols").alias("n_symbols"),
         F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.expr(f"cast(aggregate(transform(_starts, (x, i) -> least({WINDOW}, coalesce(get(_starts, i + 1) - x, {WINDOW}))), 0, (a, x) -> a + x) as bigint)").alias("n_repeat_words"),
-        F.expr(f"cast(_chars - {without(upper)} as bigint)").alias("n_upper"),
-        F.expr(f"cast(_chars - {without('!?')} as bigint)").alias("n_marks"),
+        n_of(UPPER).alias("n_upper"),
+        n_of("!?").alias("n_marks"),
         F.size(F.array_distinct("_words")).cast("long").alias("n_distinct"),
         F.expr("cast(size(filter(_words, (w, i) -> i > 0 and w = get(_words, i - 1))) as bigint)").alias("n_stutter"),
         F.expr("cast(size(filter(_words, w -> length(w) = 1)) as bigint)").alias("n_single"),
-        F.expr(f"cast(size(filter(_words, w -> rlike(w, '[{SYMBOLS}]'))) as bigint)").alias("n_signed"),
+        F.expr(f"if(_symbols = 0, 0L, cast(size(filter(_words, w -> rlike(w, '[{SYMBOLS}]'))) as bigint))").alias("n_signed"),
     )
     # Through explode no filter on the counts is pushed down, which would work them out again inside each condition.
     return d.select(*names, F.explode(F.array(counts)).alias("_counts")).select(*names, "_counts.*")

@@ -63,6 +63,18 @@ def test_quality_counts(spark, odd, sf_dir):
     assert all(tuple(r.v) == plain.votes(plain.signals(r.text)) for r in voted)
 
 
+def test_quality_counts_without_translate(spark):
+    """translate makes an object for each character of a text, which fills an executor's memory with garbage; the counts
+    by patterns are those of single characters."""
+    texts = ["A\u00c0\u00d6\u00d7\u00d8\u00de\u00df\u00e0Zz ##a#b!!?! \u00a0|\n\x0b\x0c \r\n\u2003\n<x>&%$*", "\U0001f600 \U0001f600A!", "\\[^]-", ""]
+    counted = quality.signals(spark.createDataFrame([(t,) for t in texts], "text string"))
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(" not in plan
+    for r in counted.collect():
+        want = plain.signals(r.text)
+        assert {k: r[k] for k in want} == want, r.text
+
+
 def test_quality_verdicts_and_calibration(spark):
     at = "/root/testdata/sf0.01"
     got = {r.doc_id: r for r in queries.op2_quality_rules(spark, at).collect()}
