@@ -47,20 +47,26 @@ def byte_of() -> dict[str, int]:
 
 def encoder(path: str):
     """text -> ids as tokenizers gives them without special tokens added, once a process. The same vocabulary's ranks
-    run in tiktoken, which is several times as fast; texts that hold the special token's string go to tokenizers."""
+    run in tiktoken, which is several times as fast; texts that hold the special token's string go to tokenizers, which
+    is loaded, as each worker holds it, by the first of these."""
     if path not in _ENCODERS:
         import json
 
         import tiktoken
-        from tokenizers import Tokenizer
 
-        slow = Tokenizer.from_file(path)
+        def slow(text: str):
+            from tokenizers import Tokenizer
+
+            if (path, "slow") not in _ENCODERS:
+                _ENCODERS[path, "slow"] = Tokenizer.from_file(path)
+            return _ENCODERS[path, "slow"].encode(text, add_special_tokens=False).ids
+
         back = byte_of()
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
         ranks = {bytes(back[c] for c in token): i for token, i in model["vocab"].items() if token != SPECIAL}
         fast = tiktoken.Encoding("own", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
-        _ENCODERS[path] = lambda text: slow.encode(text, add_special_tokens=False).ids if SPECIAL in text else fast.encode_to_numpy(text, disallowed_special=())
+        _ENCODERS[path] = lambda text: slow(text) if SPECIAL in text else fast.encode_to_numpy(text, disallowed_special=())
     return _ENCODERS[path]
 
 
@@ -142,7 +148,8 @@ def pack(pieces: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
     spark = pieces.sparkSession
     spread = max(SPREAD, -(-pieces.count() // PART_PIECES))
     pieces = pieces.withColumn("_part", F.pmod(F.xxhash64("doc_id", "row", "start"), F.lit(spread)).cast("int"))
-    counts = staged(pieces.groupBy("length", "_part").agg(F.count(F.lit(1)).alias("_n")), "piece_counts")
+    # Counted twice rather than staged: a file for each partition costs executors more than counting.
+    counts = pieces.groupBy("length", "_part").agg(F.count(F.lit(1)).alias("_n"))
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}  # at most `sequence` rows
     slots = pattern_slots(pack_lengths(histogram, sequence))
     table = spark.createDataFrame(slots or [(0, 0, 0, 0, 0)], "length long, first long, last long, seq long, offset long")

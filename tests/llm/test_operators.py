@@ -701,6 +701,19 @@ def test_packing_round_trip(spark, sf_dir, odd, empty):
     assert packing.pack_documents(odd).select("doc_id", "start").count() >= len(odd_rows()) and packing.pack_documents(empty).count() == 0
 
 
+def test_packing_loads_the_slow_tokenizer_when_needed(monkeypatch):
+    """A worker holds the second tokenizer only after a text that needs it; ids are its ids either way."""
+    from tokenizers import Tokenizer
+
+    path, read, loads = packing.vocabulary(), Tokenizer.from_file, []
+    monkeypatch.setattr(packing, "_ENCODERS", {})
+    monkeypatch.setattr("tokenizers.Tokenizer", type("Counted", (), {"from_file": staticmethod(lambda p: loads.append(p) or read(p))}))
+    encode, want = packing.encoder(path), read(path)
+    texts = ["", "plain text, twice  spaced\n", "cut " + packing.SPECIAL + " here", packing.SPECIAL, "plain again"]
+    assert list(encode(texts[1])) == want.encode(texts[1], add_special_tokens=False).ids and not loads
+    assert [list(encode(t)) for t in texts] == [want.encode(t, add_special_tokens=False).ids for t in texts] and loads == [path]
+
+
 def test_packer_matches_plain_packing():
     rng = random.Random(4)
     for _ in range(30):
